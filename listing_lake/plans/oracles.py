@@ -308,9 +308,7 @@ def oracle_sql() -> dict[str, str]:
         # ---- casts and cleaning rules
         "cast_lenient_long": _cast("BIGINT"),
         "cast_lenient_int": _cast("INTEGER"),
-        "cast_lenient_double": _cast("DOUBLE").replace(
-            "TRY_CAST", "CASE WHEN text NOT LIKE '%f' THEN TRY_CAST"
-        ).replace("AS value", "END AS value"),
+        "cast_lenient_double": _cast("DOUBLE"),
         "parse_dates": _with(
             DATES,
             select="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, text,
