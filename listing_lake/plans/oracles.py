@@ -284,7 +284,7 @@ def _versions(select: str) -> str:
     """Contents of the store after bulk and two merges, per version and table."""
     ctes, _ = replayed(STORE_SPLIT, LAST)
     union = " UNION ALL ".join(
-        f"SELECT {v} AS version, '{mode}' AS mode, table_name, is_current FROM g{v - 1}"
+        f"SELECT CAST({v} AS BIGINT) AS version, '{mode}' AS mode, table_name, is_current FROM g{v - 1}"
         for v, mode in ((1, "bulk"), (2, "merge"), (3, "merge"))
     )
     return _with(*ctes, f"\ncontents AS ({union})", select=select)

@@ -32,6 +32,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a table that has fewer splits than the session has cores.
+
+    The test files are single splits; a table of real size has many and passes
+    through without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def _text(column: Column) -> Column:
     return column.cast("string")
 
@@ -49,7 +59,17 @@ def _date_text(day: Column, style: Column) -> Column:
 
 def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw listing rows (all text) with snapshot date and tie-break columns."""
-    line = table(spark, sf_dir, "lineitem")
+    line = spread(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey",
+            "l_partkey",
+            "l_suppkey",
+            "l_linenumber",
+            "l_extendedprice",
+            "l_returnflag",
+            "l_shipdate",
+        )
+    )
     part = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type", "p_size")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name", "s_nationkey")
     place = table(spark, sf_dir, "nation").join(
