@@ -18,7 +18,7 @@ from listing_lake.functions import naming
 from listing_lake.operators import lineage as ops
 from listing_lake.operators import scd2
 from listing_lake.operators.silver import silver_clean
-from listing_lake.session import cut_lineage
+from listing_lake.session import stored
 from listing_lake.sources import landing
 from listing_lake.sources.lake import Lake
 
@@ -85,7 +85,7 @@ def ingest_files(
     first = prints.groupBy("file_hash").agg(
         F.min_by(F.struct(*[c for c in prints.columns if c != "file_hash"]), "file_name").alias("f")
     )
-    todo = cut_lineage(
+    todo = stored(
         ops.unprocessed(first.select("file_hash", "f.*"), lake.lineage.read(), rules.BRONZE)
     )
     if todo.isEmpty():
@@ -162,7 +162,7 @@ def silver_transform(
         silver_clean(bronze, run_id, now.isoformat(), carry=("snapshot_date", "file_hash"))
     )
 
-    written = cut_lineage(lake.silver_facts(hashes))
+    written = stored(lake.silver_facts(hashes))
     # files that are gone have no rows and are tried again; empty ones are done
     done = (
         waiting.filter(F.col("file_hash").isin(hashes) if batch_limit else F.lit(True))
@@ -209,7 +209,7 @@ def gold_publish(
     """
     lake.gold.create_if_missing(now)
     _recover_lineage(lake, run_id, now)
-    files = cut_lineage(
+    files = stored(
         gold_waiting(lake).withColumn("snapshot_date", naming.snapshot_date(F.col("file_name")))
     )
     if files.isEmpty():
@@ -297,7 +297,7 @@ def merge_batch(
     gold = lake.gold.read()
     if late == REBUILD:
         late_rows, on_time = scd2.split_late(incoming, gold, ids)
-        late_ids = cut_lineage(late_rows.select(*ids).distinct())
+        late_ids = stored(late_rows.select(*ids).distinct())
         if not late_ids.isEmpty():
             _rebuild_and_merge(lake, gold, late_ids, on_time, day, now, file_hashes, batch_key, copies)
             return

@@ -17,7 +17,7 @@ from listing_lake.functions import casts, cleaning, naming
 from listing_lake.operators import lineage as lin
 from listing_lake.operators import quality, scd2
 from listing_lake.plans import pipeline
-from listing_lake.session import cut_lineage, work_dir
+from listing_lake.session import stored, work_dir
 from listing_lake.sources import landing
 from listing_lake.sources import testdata as td
 from listing_lake.sources.lake import Lake
@@ -193,26 +193,26 @@ def _merged(gold: DataFrame, silver: DataFrame, day: dt.date | str) -> DataFrame
 
 def _scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
     gold, rest = _split_gold(spark, sf, SPLIT)
-    return _merged(gold, rest, SPLIT)
+    return _merged(stored(gold), stored(rest), SPLIT)
 
 
 def _scd2_first_load(spark: SparkSession, sf: str) -> DataFrame:
     empty = spark.createDataFrame([], schemas.GOLD).withColumn(
         "table_name", F.lit(None).cast("string")
     )
-    return _merged(empty, td.silver(spark, sf), SPLIT)
+    return _merged(empty, stored(td.silver(spark, sf)), SPLIT)
 
 
 def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
     """Merge date after date; only open versions travel from step to step."""
     gold, rest = _split_gold(spark, sf, SPLIT)
-    start, rest = cut_lineage(gold), cut_lineage(rest)
+    start, rest = stored(gold), stored(rest)
     closed, still_open = scd2.closed_rows(start), scd2.current_rows(start)
     for (day,) in rest.select(DAY).distinct().orderBy(DAY).toLocalIterator():
         incoming = scd2.incoming_versions(
             rest.filter(F.col(DAY) == day), F.lit(day), td.LOADED_AT
         )
-        step = cut_lineage(
+        step = stored(
             scd2.merge_open(still_open, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS)
         )
         closed = closed.unionByName(scd2.closed_rows(step))
@@ -221,9 +221,9 @@ def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scd2_late_rebuild(spark: SparkSession, sf: str) -> DataFrame:
-    silver = td.silver(spark, sf)
+    silver = stored(td.silver(spark, sf))
     is_late = F.col(DAY) == F.lit(LATE).cast("date")
-    gold = _history(silver.filter(~is_late))
+    gold = stored(_history(silver.filter(~is_late)))
     batch = scd2.incoming_versions(silver.filter(is_late), F.lit(LATE), td.LOADED_AT)
     late, _ = scd2.split_late(batch, gold, BOTH_IDS)
     return scd2.rebuild_late(
@@ -294,7 +294,7 @@ def _stored_gold(spark: SparkSession, sf: str) -> Lake:
     lake = Lake(spark, work_dir(spark, "lake"))
     gold, rest = _split_gold(spark, sf, STORE_SPLIT)
     lake.gold.publish(gold, pipeline.BULK, NOW)
-    rest = cut_lineage(rest)
+    rest = stored(rest)
     for (day,) in rest.select(DAY).distinct().orderBy(DAY).toLocalIterator():
         pipeline.merge_batch(lake, rest.filter(F.col(DAY) == day), day, NOW)
     return lake
@@ -321,7 +321,7 @@ def _gold_rollback(spark: SparkSession, sf: str) -> DataFrame:
     gold, rest = _split_gold(spark, sf, SPLIT)
     bulk = lake.gold.publish(gold, pipeline.BULK, NOW)
     states = _counted(lake, state="1 bulk")
-    pipeline.merge_batch(lake, rest, dt.date.fromisoformat(SPLIT), NOW)
+    pipeline.merge_batch(lake, stored(rest), dt.date.fromisoformat(SPLIT), NOW)
     states = states.unionByName(_counted(lake, state="2 merged"))
     lake.gold.restore(bulk, NOW)
     states = states.unionByName(_counted(lake, state="3 restored"))
@@ -342,7 +342,7 @@ def _gold_empty_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, work_dir(spark, "lake"))
     lake.gold.create_if_missing(NOW)
     lake.gold.create_if_missing(NOW)
-    pipeline.merge_batch(lake, td.silver(spark, sf), dt.date.fromisoformat(SPLIT), NOW)
+    pipeline.merge_batch(lake, stored(td.silver(spark, sf)), dt.date.fromisoformat(SPLIT), NOW)
     return lake.gold.read()
 
 
@@ -378,7 +378,7 @@ def _stream_late(spark: SparkSession, sf: str) -> DataFrame:
     because files do not carry the tie-break columns a rebuild would need.
     """
     lake = Lake(spark, work_dir(spark, "lake"))
-    silver = td.silver(spark, sf)
+    silver = stored(td.silver(spark, sf))
     is_late = F.col(DAY) == F.lit(LATE).cast("date")
     daily = scd2.one_per_day(
         scd2.only_traded(scd2.has_city(silver)), ("table_name", *scd2.BULK_KEYS), DAY, td.TIE_BREAK

@@ -16,6 +16,9 @@ RECOMMENDED = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # the cleaning projection is long; above 8000 bytes the JVM would interpret
+    # its generated method instead of compiling it
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -43,7 +46,7 @@ def shared_dir(spark: SparkSession) -> str:
             raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
         named = tempfile.mkdtemp(prefix="listing-lake-")
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(named)
+        context.setCheckpointDir(named)  # later calls find the same folder
     return named.rstrip("/")
 
 
@@ -52,7 +55,12 @@ def work_dir(spark: SparkSession, purpose: str) -> str:
     return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise reliably, so that lost executors do not replay the past."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared folder.
+
+    Cuts the lineage so that lost executors do not replay the past, and keeps
+    column pruning and filter pushdown for whatever reads the rows next.
+    """
+    folder = work_dir(df.sparkSession, "table")
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
