@@ -44,7 +44,7 @@ def _outcomes(files: DataFrame, layer: str, run_id: str | None) -> DataFrame:
 
 def _hashes(files: DataFrame) -> list[str]:
     """Hashes of one run's files; a path list the reader needs on the driver anyway."""
-    return [row[0] for row in files.select("file_hash").toLocalIterator()]
+    return [row[0] for row in files.select("file_hash").collect()]
 
 
 # ------------------------------------------------------------------ Bronze
@@ -148,8 +148,8 @@ def silver_transform(
         hashes = _hashes(waiting)
     else:
         # a file whose data is gone does not use up the limit
-        stored = lake.bronze(_hashes(waiting)).select("file_hash").distinct()
-        present = waiting.join(stored, "file_hash", "left_semi").unionByName(
+        held = lake.bronze(_hashes(waiting)).select("file_hash").distinct()
+        present = waiting.join(held, "file_hash", "left_semi").unionByName(
             waiting.filter("row_count = 0")
         )
         hashes = _hashes(ops.first_files(present, batch_limit, "file_name"))
@@ -188,12 +188,6 @@ def select_mode(lake: Lake) -> str:
     return BULK if lake.gold.is_empty() else MERGE
 
 
-def gold_waiting(lake: Lake) -> DataFrame:
-    """Silver files not in Gold, whether or not their lineage was written."""
-    files = ops.eligible(lake.lineage.read(), rules.GOLD, rules.SILVER)
-    return files.join(lake.gold.committed_files(), "file_hash", "left_anti")
-
-
 def gold_publish(
     lake: Lake,
     run_id: str | None,
@@ -208,10 +202,17 @@ def gold_publish(
     history of the ids they touch.
     """
     lake.gold.create_if_missing(now)
-    _recover_lineage(lake, run_id, now)
-    files = stored(
-        gold_waiting(lake).withColumn("snapshot_date", naming.snapshot_date(F.col("file_name")))
+    in_gold = lake.gold.committed_files().withColumn("in_gold", F.lit(True))
+    waiting = stored(
+        ops.eligible(lake.lineage.read(), rules.GOLD, rules.SILVER)
+        .join(in_gold, "file_hash", "left")
+        .withColumn("snapshot_date", naming.snapshot_date(F.col("file_name")))
     )
+    # files an earlier run committed without getting to the lineage
+    known = waiting.filter("in_gold")
+    if not known.isEmpty():
+        lake.lineage.record(_gold_outcomes(known, rules.SUCCESS, run_id), now)
+    files = waiting.filter("in_gold IS NULL")
     if files.isEmpty():
         return None
     mode = select_mode(lake)
@@ -235,15 +236,6 @@ def _gold_outcomes(files: DataFrame, status: str, run_id: str | None, error: str
     )
 
 
-def _recover_lineage(lake: Lake, run_id: str | None, now: dt.datetime) -> None:
-    """Record files that an earlier run committed without getting to the lineage."""
-    missing = ops.eligible(lake.lineage.read(), rules.GOLD, rules.SILVER).join(
-        lake.gold.committed_files(), "file_hash", "left_semi"
-    )
-    if not missing.isEmpty():
-        lake.lineage.record(_gold_outcomes(missing, rules.SUCCESS, run_id), now)
-
-
 def _publish_bulk(lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime) -> None:
     dated = files.filter("snapshot_date IS NOT NULL")
     history = scd2.bulk_history(lake.silver(_hashes(dated)), now.isoformat())
@@ -261,7 +253,7 @@ def _publish_in_order(
     lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime, late: str, copies: str
 ) -> None:
     """One version per file in name order; each depends on the one before."""
-    for file in files.orderBy("file_name").toLocalIterator():
+    for file in files.orderBy("file_name").collect():
         one = files.filter(F.col("file_hash") == file["file_hash"])
         day = file["snapshot_date"] or now.date()
         try:

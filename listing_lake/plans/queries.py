@@ -16,6 +16,7 @@ from listing_lake import rules, schemas
 from listing_lake.functions import casts, cleaning, naming
 from listing_lake.operators import lineage as lin
 from listing_lake.operators import quality, scd2
+from listing_lake.operators.silver import silver_clean
 from listing_lake.plans import pipeline
 from listing_lake.session import stored, work_dir
 from listing_lake.sources import landing
@@ -62,6 +63,11 @@ def _daily(spark: SparkSession, sf: str) -> DataFrame:
     return scd2.one_per_day(rows, keys, DAY, td.TIE_BREAK)
 
 
+def silver_clean_of(bronze: DataFrame) -> DataFrame:
+    """The Silver projection over any Bronze frame with the feed's extra columns."""
+    return silver_clean(bronze, td.RUN_ID, td.TRANSFORMED_AT, carry=(DAY, *td.TIE_BREAK))
+
+
 def _silver_columns(*columns: str) -> Query:
     return lambda spark, sf: td.silver(spark, sf).select(*KEYED, *columns)
 
@@ -208,7 +214,7 @@ def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
     gold, rest = _split_gold(spark, sf, SPLIT)
     start, rest = stored(gold), stored(rest)
     closed, still_open = scd2.closed_rows(start), scd2.current_rows(start)
-    for (day,) in rest.select(DAY).distinct().orderBy(DAY).toLocalIterator():
+    for (day,) in rest.select(DAY).distinct().orderBy(DAY).collect():
         incoming = scd2.incoming_versions(
             rest.filter(F.col(DAY) == day), F.lit(day), td.LOADED_AT
         )
@@ -295,7 +301,7 @@ def _stored_gold(spark: SparkSession, sf: str) -> Lake:
     gold, rest = _split_gold(spark, sf, STORE_SPLIT)
     lake.gold.publish(gold, pipeline.BULK, NOW)
     rest = stored(rest)
-    for (day,) in rest.select(DAY).distinct().orderBy(DAY).toLocalIterator():
+    for (day,) in rest.select(DAY).distinct().orderBy(DAY).collect():
         pipeline.merge_batch(lake, rest.filter(F.col(DAY) == day), day, NOW)
     return lake
 

@@ -150,6 +150,7 @@ GOLD_COMMIT = _struct(
         "committed_at": TimestampType(),
         "open_version": _L,
         "closed_versions": ArrayType(_L),
+        "file_versions": ArrayType(_L),
         "open_rows": _L,
         "closed_rows": _L,
     }

@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
             "spark.sql.shuffle.partitions": "4",
             "spark.driver.memory": "6g",
             "spark.ui.enabled": "false",
+            "spark.sql.maxMetadataStringLength": "10000",
             "spark.ui.showConsoleProgress": "false",
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
         },

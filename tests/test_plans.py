@@ -1,0 +1,61 @@
+"""The physical plans the operators are meant to have."""
+
+import re
+
+from pyspark.sql import functions as F
+
+from listing_lake.operators import scd2
+from listing_lake.plans import queries
+from listing_lake.sources import testdata as td
+
+SF = "/root/testdata/sf0.001"
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def exchanges(text):
+    return re.findall(r"(?<!Broadcast)Exchange hashpartitioning\(([^)]*)\)", text)
+
+
+def bronze_table(spark, tmp_path):
+    td.bronze(spark, SF).write.parquet(str(tmp_path / "b"))
+    return spark.read.parquet(str(tmp_path / "b"))
+
+
+def test_cleaning_does_not_shuffle(spark, tmp_path):
+    clean = queries.silver_clean_of(bronze_table(spark, tmp_path))
+    assert "Exchange" not in plan(clean)
+    assert "Python" not in plan(clean)
+
+
+def test_a_narrow_read_scans_few_columns(spark, tmp_path):
+    clean = queries.silver_clean_of(bronze_table(spark, tmp_path)).select("city", "price")
+    read = re.search(r"ReadSchema: struct<([^>]*)>", plan(clean)).group(1)
+    assert sorted(c.split(":")[0] for c in read.split(",")) == ["city", "price"]
+
+
+def test_timeline_has_two_exchanges_and_reduces_before_the_first(spark, tmp_path):
+    silver = queries.silver_clean_of(bronze_table(spark, tmp_path))
+    text = plan(scd2.bulk_history(silver, "now"))
+    first, second = sorted(exchanges(text), key=len)[::-1]
+    assert "snapshot_date" in first and "snapshot_date" not in second
+    assert text.count("WindowGroupLimit") == 2
+    before = text[text.index(first) :]
+    assert "WindowGroupLimit" in before and "Partial" in before
+
+
+def test_merge_has_no_nested_loop_and_broadcasts_by_size_only(spark, tmp_path):
+    silver = queries.silver_clean_of(bronze_table(spark, tmp_path))
+    scd2.bulk_history(silver, "now").write.parquet(str(tmp_path / "g"))
+    gold = spark.read.parquet(str(tmp_path / "g"))
+    incoming = scd2.incoming_versions(silver, F.lit("2001-01-01"), "now")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(
+            scd2.merge(gold, incoming, F.lit("2001-01-01"), "now", ("table_name", "property_id"))
+        )
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "NestedLoop" not in text and "Cartesian" not in text and "Broadcast" not in text
