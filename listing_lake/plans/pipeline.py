@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from listing_lake import rules, schemas
 from listing_lake.functions import naming
 from listing_lake.operators import lineage as ops
-from listing_lake.operators import scd2
+from listing_lake.operators import quality, scd2
 from listing_lake.operators.silver import silver_clean
 from listing_lake.session import stored
 from listing_lake.sources import landing
@@ -313,11 +313,21 @@ def _rebuild_and_merge(
     """Late ids get a new history from all of Silver, the rest a normal merge."""
     ids = ("table_name", *scd2.MERGE_KEYS)
     stamp = now.isoformat()
-    rebuilt = scd2.rebuild_late(gold, lake.silver(), late_ids, stamp, ids)
+    # the merge reads it several times
+    rebuilt = stored(scd2.rebuild_late(gold, lake.silver(), late_ids, stamp, ids))
     merged = scd2.merge(rebuilt, on_time, F.lit(day), stamp, ids, copies=copies)
     lake.gold.publish(merged, REBUILD, now, file_hashes, batch_key)
 
 
+# ------------------------------------------------------------------ export
+
+
+def export_history(lake: Lake, table: str, folder: str) -> None:
+    """Write all versions of ids that have several as CSV with a header, in order."""
+    history = quality.history_export(lake.gold.read(table))
+    history.write.mode("overwrite").option("header", True).csv(folder)
+
+
 # ------------------------------------------------------------------ rollback
 
 

@@ -1,4 +1,11 @@
-"""Every registered query against its SQL twin on the smallest tables."""
+"""Registered queries against their SQL twins on the smallest tables.
+
+Queries that go through storage take long and are left to
+``python tests/oracle_check.py`` (and ORACLE_ALL=1); their steps have tests of
+their own in test_pipeline.py.
+"""
+
+import os
 
 import pytest
 
@@ -14,7 +21,15 @@ def con():
     return oracle_check.duck(SF)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+STORED = {
+    "bronze_csv_roundtrip", "file_content_hash", "quarantine_split", "gold_publish_versions",
+    "gold_snapshots", "gold_rollback", "gold_mode_selection", "gold_empty_bootstrap",
+    "stream_bronze", "stream_silver", "stream_gold", "stream_late", "scd2_replay",
+}
+NAMES = [n for n in entry.queries() if os.environ.get("ORACLE_ALL") or n not in STORED]
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, con, name):
     found = oracle_check.frame_of(entry.queries()[name](spark, SF))
     if name in SQL:

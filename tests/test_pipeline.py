@@ -64,6 +64,9 @@ def test_daily_life(lake, now):
     assert run_all(lake, now) == "merge"
     assert versions(lake)[-1] == (9, 1000, day(3), None, True)
     assert (1, 250000, day(2), day(3), False) in versions(lake)
+    pipeline.export_history(lake, "gold_sales", f"{lake.root}/export")
+    exported = lake.spark.read.option("header", True).csv(f"{lake.root}/export")
+    assert [r["property_id"] for r in exported.collect()] == ["1", "1", "1"]
     # time travel, then back
     assert lake.gold.read("gold_sales", version=1).count() == 3
     lake.gold.restore(1, now)
