@@ -184,5 +184,7 @@ def write_landing(rows: DataFrame, folder: str) -> int:
             stream.close()
         yield pd.DataFrame({"files": [files]})
 
-    ordered = rows.sortWithinPartitions("snapshot_date", *TIE_BREAK)
+    # ranges keep a date's rows together, and split a date that owns most of them
+    order = ("snapshot_date", *TIE_BREAK)
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
     return ordered.mapInPandas(write, "files int").agg(F.sum("files")).first()[0]
