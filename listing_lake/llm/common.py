@@ -70,3 +70,13 @@ def components(edges: DataFrame) -> DataFrame:
         if now == before:
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
+
+
+def bounded(rows: DataFrame, limit: int, key: str = "doc_id") -> DataFrame:
+    """At most about ``limit`` rows, chosen by a hash of their key; all if there are no more."""
+    count = rows.count()
+    if count <= limit:
+        return rows
+    bits = 1 << 30
+    chosen = F.xxhash64(F.lit("sample"), key).bitwiseAND(bits - 1)
+    return rows.filter(chosen < int(bits * limit / count))

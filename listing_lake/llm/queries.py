@@ -6,7 +6,18 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from listing_lake.llm import chat, packing, secret_scan, simhash
+from listing_lake.llm import (
+    ann,
+    chat,
+    decontam,
+    langid,
+    linedup,
+    packing,
+    quality,
+    secret_scan,
+    simhash,
+    toxicity,
+)
 from listing_lake.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +27,10 @@ def _packing(spark: SparkSession, sf: str) -> DataFrame:
     return packing.pack(table(spark, sf, "documents"))
 
 
+def _langid(spark: SparkSession, sf: str) -> DataFrame:
+    return langid.identify(table(spark, sf, "documents"))
+
+
 def _chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.digests(chat.render(chat.with_probe(spark, sf)))
 
@@ -24,18 +39,44 @@ def _simhash(spark: SparkSession, sf: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf, "documents"))
 
 
+def _ann(spark: SparkSession, sf: str) -> DataFrame:
+    return ann.nearest(table(spark, sf, "embeddings"))
+
+
+def _quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
+def _decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontam.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+def _toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def _secrets(spark: SparkSession, sf: str) -> DataFrame:
     return secret_scan.scan(table(spark, sf, "documents"))
 
 
+def _line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return linedup.drop_recurring(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": _packing,
+        "op2_language_id": _langid,
         "op3_chat_formatting": _chat,
         "op4_simhash": _simhash,
+        "op5_nearest_neighbours": _ann,
+        "op6_quality_cotraining": _quality,
+        "op7_decontamination": _decontamination,
+        "op8_toxicity": _toxicity,
         "op9_secret_scan": _secrets,
+        "op10_line_dedup": _line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_line_dedup": linedup.ORACLE_SQL}
