@@ -15,26 +15,29 @@ counts are added up by a window over (length, partition) rows. Pieces are
 written before they are ranked, so a lost executor cannot renumber them.
 
 Null text: empty, that is the single id 0. Empty tables give no rows. Repeated
-rows are packed like any others. Strings of special tokens are ordinary text.
+rows are packed like any others. Strings of special tokens are ordinary text. The
+ids are those that the ``tokenizers`` library gives for the same file.
 """
 
 from __future__ import annotations
 
 import array
+import json
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import public_tokenizers
 import regex
+import tiktoken
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from tokenizers import Tokenizer
 
 from listing_lake.llm.common import slices
 from listing_lake.session import stored
@@ -44,7 +47,7 @@ TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 #: Code points of a text that are split into words at a time.
 CHUNK = 1 << 20
 #: Words whose ids a worker remembers at most; beyond that it starts anew.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 # The word pattern of the tokenizer. For texts of these letters only, the standard
 # library's character classes are the same as the pattern's and faster.
@@ -55,20 +58,36 @@ _CUT = re.compile(r"(?<=\S) (?=\S)")  # a word always begins here
 _END = array.array("I", [0]).tobytes()
 
 
+def _encoding(path: str) -> tiktoken.Encoding:
+    """The byte-level BPE of a tokenizer file, by a library that encodes single words faster.
+
+    That library merges by rank; here a token's rank is its id, which holds if the
+    file lists its merges in the order of their ids.
+    """
+    model = json.loads(Path(path).read_text())["model"]
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]  # bytes that stand for themselves
+    hidden = [b for b in range(256) if b not in shown]
+    byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
+    ids = [model["vocab"]["".join(m if isinstance(m, list) else m.split(" "))] for m in model["merges"]]
+    if ids != sorted(ids):
+        raise ValueError(f"the merges of {path} are not in the order of their ids")
+    special = {t["content"] for t in json.loads(Path(path).read_text())["added_tokens"]}
+    ranks = {bytes(byte_of[c] for c in t): i for t, i in model["vocab"].items() if t not in special}
+    return tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class _Ids(dict):
-    """Word -> its ids as little-endian unsigned 32-bit bytes."""
+    """Word -> its ids as little-endian unsigned 32-bit bytes, remembered up to a bound."""
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.encode = _encoding(path).encode_ordinary
 
-    def learn(self, words: set[str]) -> None:
-        if len(self) + len(words) > REMEMBERED:
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= REMEMBERED:
             self.clear()
-        batch = list(words)
-        found = self.tokenizer.encode_batch_fast(batch, add_special_tokens=False)
-        self.update((word, np.array(e.ids, "<u4").tobytes()) for word, e in zip(batch, found))
+        found = self[word] = array.array("I", self.encode(word)).tobytes()
+        return found
 
 
 _ids = cache(_Ids)
@@ -95,12 +114,7 @@ def encode(texts: list[str | None], path: str = TOKENIZER) -> Iterator[bytes]:
     for text in texts:
         parts = []
         for chunk in _chunks(text or ""):
-            words = _words(chunk)
-            if unknown := set(words).difference(ids):
-                ids.learn(unknown)
-                if any(word not in ids for word in words):  # forgotten meanwhile
-                    ids.learn(set(words).difference(ids))
-            parts.append(b"".join(map(ids.__getitem__, words)))
+            parts.append(b"".join(map(ids.__getitem__, _words(chunk))))
         parts.append(_END)
         yield b"".join(parts)
 
