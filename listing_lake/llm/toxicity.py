@@ -9,8 +9,10 @@ rare expression so gets nearly the same probability from both classes.
 A text is compared by its length-normalised log-likelihoods under the toxic and
 the ordinary class: over the whole text, over the passage of ``WINDOW`` words
 where they differ most, and over its most telling words, since a few insults in
-a long text would vanish in the mean. A logistic calibration turns these figures
-into a score; it is fitted on labelled rows that took no part in the counts.
+a long text would vanish in the mean. Chance gives longer texts more telling
+words, so their share and the length count too. A logistic calibration turns
+these figures into a score; it is fitted on labelled rows that took no part in
+the counts.
 
 Words are hashed to ``2 ** HASH_BITS`` slots, so the model has a fixed largest
 size. At most about ``LABELS`` labelled rows are learned from (a hash of the id
@@ -43,11 +45,13 @@ HASH_BITS = 22
 LABELS = 1_000_000
 WINDOW = 25
 CUTOFF = 0.3
+#: Log-ratio from which a word is telling.
+TELLING = 4.0
 #: Words a worker remembers, and distinct slots it counts before it hands them on.
 REMEMBERED, COUNTED = 500_000, 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
-FEATURES = ("mean", "passage", "word", "words")
+FEATURES = ("mean", "passage", "word", "three", "six", "distinct", "telling", "length")
 
 
 def _slot(word: str) -> int:
@@ -101,29 +105,27 @@ def _ratios(counts: DataFrame) -> tuple[float, np.ndarray]:
     # one more document is spread over all slots, for words never seen
     backoff = (F.col("held") + 2.0**-HASH_BITS) / float(total["held"] + 1)
 
-    def probability(c: str, n, shared):
-        once, twice = total[f"{c}_once"], total[f"{c}_twice"]
-        discount = once / (once + 2 * twice) if once and twice else 0.75
-        weight = discount * total[f"{c}_types"] / total[f"{c}_n"]
-        return F.greatest(n - discount, F.lit(0.0)) / float(total[f"{c}_n"]) + shared * weight
+    def probability(c: str):
+        own = F.greatest(F.col(c) - _discount(total, c), F.lit(0.0)) / float(total[f"{c}_n"])
+        return own + backoff * _weight(total, c)
 
-    ratio = F.log(
-        probability("toxic", F.col("toxic"), backoff) / probability("ordinary", F.col("ordinary"), backoff)
-    )
+    ratio = F.log(probability("toxic") / probability("ordinary"))
     # at most 2 ** HASH_BITS rows of 12 bytes
     found = counts.select(F.col("slot").cast("int"), ratio.cast("float").alias("ratio")).toArrow()
-    unseen = np.log(
-        (_weight(total, "toxic")) / (_weight(total, "ordinary"))
-    )
+    unseen = np.log(_weight(total, "toxic") / _weight(total, "ordinary"))
     table = np.full(1 << HASH_BITS, unseen, np.float32)
     table[found.column("slot").to_numpy()] = found.column("ratio").to_numpy()
     return float(unseen), table
 
 
-def _weight(total: dict, c: str) -> float:
+def _discount(total: dict, c: str) -> float:
     once, twice = total[f"{c}_once"], total[f"{c}_twice"]
-    discount = once / (once + 2 * twice) if once and twice else 0.75
-    return discount * total[f"{c}_types"] / total[f"{c}_n"]
+    return once / (once + 2 * twice) if once and twice else 0.75
+
+
+def _weight(total: dict, c: str) -> float:
+    """What the discounts leave to the backoff distribution."""
+    return _discount(total, c) * total[f"{c}_types"] / total[f"{c}_n"]
 
 
 class _Known(dict):
@@ -141,16 +143,26 @@ class _Known(dict):
         return value
 
 
-def figures(words: list[str], known: dict[str, float]) -> tuple[float, float, float, float]:
+def figures(words: list[str], known: dict[str, float]) -> tuple[float, ...]:
     """The features of one text, see FEATURES; zeros without words."""
     if not words:
-        return 0.0, 0.0, 0.0, 0.0
+        return (0.0,) * len(FEATURES)
     x = np.fromiter(map(known.__getitem__, words), float, len(words))
     sums = np.concatenate([[0.0], np.cumsum(x)])
     width = min(len(x), WINDOW)
-    top = np.partition(x, len(x) - min(3, len(x)))[-3:]
-    passage = (sums[width:] - sums[:-width]).max() / width
-    return sums[-1] / len(x), passage, top.max(), top.sum()
+    top = np.sort(np.partition(x, len(x) - min(6, len(x)))[-6:])
+    distinct = set(words)
+    own = np.fromiter(map(known.__getitem__, distinct), float, len(distinct))
+    return (
+        sums[-1] / len(x),
+        (sums[width:] - sums[:-width]).max() / width,
+        top[-1],
+        top[-3:].sum(),
+        top.sum(),
+        np.partition(own, len(own) - min(3, len(own)))[-3:].sum(),
+        (x > TELLING).sum() / len(x) ** 0.5,
+        np.log(len(x)),
+    )
 
 
 def _measure(table):
