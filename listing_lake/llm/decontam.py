@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from listing_lake.llm.common import slices
 
 DISTANCE = 0.2
-REPETITIONS = 8
+REPETITIONS = 12
 SAMPLES = 5
 #: Characters of benchmark text that tasks hold at a time.
 BLOCK = 8_000_000
