@@ -52,14 +52,30 @@ def upsert(lineage: DataFrame, outcomes: DataFrame, now: Column) -> DataFrame:
     )
 
 
-def set_aside(lineage: DataFrame, max_retries: int = rules.MAX_RETRIES) -> DataFrame:
-    """Turn FAILED files that used up their retries into QUARANTINED ones."""
+def set_aside(lineage: DataFrame, max_retries: int | None) -> DataFrame:
+    """Turn FAILED files that used up their retries into QUARANTINED ones; None: never."""
+    if max_retries is None:
+        return lineage
     spent = (F.col("status") == rules.FAILED) & (F.col("retry_count") >= max_retries)
     return lineage.withColumn(
         "status", F.when(spent, F.lit(rules.QUARANTINED)).otherwise(F.col("status"))
     )
 
 
+def release(lineage: DataFrame, file_hash: str, now: Column) -> DataFrame:
+    """Turn a QUARANTINED file into a FAILED one without retries, to be tried again."""
+    freed = (F.col("file_hash") == file_hash) & (F.col("status") == rules.QUARANTINED)
+    changes = {"status": F.lit(rules.FAILED), "retry_count": F.lit(0), "updated_at": now}
+    return lineage.select(
+        *[
+            F.when(freed, changes[f.name]).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
+            if f.name in changes
+            else F.col(f.name)
+            for f in schemas.LINEAGE
+        ]
+    )
+
+
 # ------------------------------------------------------------ selection
 
 

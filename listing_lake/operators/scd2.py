@@ -29,8 +29,10 @@ from listing_lake.functions import cleaning
 BULK_KEYS = ("city", "property_id")
 MERGE_KEYS = ("property_id",)
 
-# One task writes at most this many copies of one expired row at a time.
-COPIES_PER_TASK = 10_000
+# How often a version is kept that several rows of a batch end.
+ONCE, PER_MATCH = "once", "per_match"
+# Copies of one row that are unfolded at a time.
+PORTION = 10_000
 
 
 # ---------------------------------------------------------------- enrichment
@@ -183,13 +185,13 @@ def merge_open(
     loaded_at: str,
     ids: Sequence[str] = MERGE_KEYS,
     tracked: str = "price",
-    copies: str = "per_match",
+    copies: str = ONCE,
 ) -> DataFrame:
     """Open versions after one batch, together with the versions it has closed.
 
     * an open version whose id comes back with another value is closed at
-      ``file_date``, once per such batch row (``copies="per_match"``, what an
-      inner join gives) or once in all (``copies="once"``);
+      ``file_date``, once in all, or with ``copies="per_match"`` once per such
+      batch row, what an inner join gives;
     * a batch row whose (id, value) is not open yet becomes a new version;
       NULL ids and NULL values equal nothing, so they always do;
     * everything else stays as it is.
@@ -198,9 +200,9 @@ def merge_open(
     pair = [*ids, tracked]
     open_pairs = open_versions.select(*pair).dropna().distinct()
     expiring = _expiring_pairs(open_pairs, incoming, ids, tracked)
-    if copies == "once":
+    if copies == ONCE:
         expiring = expiring.withColumn("_copies", F.lit(1).cast("long"))
-    elif copies != "per_match":
+    elif copies != PER_MATCH:
         raise ValueError(f"copies must be per_match or once, not {copies!r}")
 
     closing = {
@@ -217,47 +219,15 @@ def merge_open(
         }
     )
     columns = open_versions.columns
-    if copies == "per_match":
-        in_place = F.least(F.coalesce("_copies", F.lit(1)), F.lit(COPIES_PER_TASK))
-        kept_or_ended = judged.select(
-            *columns, F.explode(F.sequence(F.lit(1), in_place.cast("int"))).alias("_copy")
-        ).select(*columns)
-        kept_or_ended = kept_or_ended.unionByName(
-            _surplus_copies(open_versions, expiring, pair, closing)
+    if copies == PER_MATCH:
+        left = F.col("_copies") - F.col("_from")
+        judged = (
+            judged.withColumn("_copies", F.coalesce("_copies", F.lit(1)).cast("long"))
+            .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(PORTION).cast("long"))))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(PORTION)).cast("int"))))
         )
-    else:
-        kept_or_ended = judged.select(*columns)
-
     new = incoming.join(open_pairs, pair, "left_anti").select(*columns)
-    return kept_or_ended.unionByName(new)
-
-
-def _surplus_copies(
-    open_versions: DataFrame, expiring: DataFrame, pair: list[str], closing: dict[str, Column]
-) -> DataFrame:
-    """Copies beyond the first COPIES_PER_TASK, spread over tasks before they unfold.
-
-    Normally there are none and AQE drops this branch at run time.
-    """
-    columns = open_versions.columns
-    limit = F.lit(COPIES_PER_TASK)
-    portions = (
-        open_versions.join(expiring.filter(F.col("_copies") > limit), pair)
-        .withColumns({k: v for k, v in closing.items() if k in columns})
-        .withColumn("_left", F.col("_copies") - limit)
-        .withColumn(
-            "_portion", F.explode(F.sequence(F.lit(1), F.ceil(F.col("_left") / limit)))
-        )
-        .withColumn(
-            "_size", F.least(limit, F.col("_left") - (F.col("_portion") - 1) * limit).cast("int")
-        )
-    )
-    return (
-        portions.select(*columns, "_size")
-        .hint("rebalance")
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_size"))))
-        .select(*columns)
-    )
+    return judged.select(*columns).unionByName(new)
 
 
 def merge(
@@ -267,7 +237,7 @@ def merge(
     loaded_at: str,
     ids: Sequence[str] = MERGE_KEYS,
     tracked: str = "price",
-    copies: str = "per_match",
+    copies: str = ONCE,
 ) -> DataFrame:
     """Full history after one batch; closed versions bypass every join."""
     return closed_rows(gold).unionByName(

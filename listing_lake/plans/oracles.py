@@ -108,8 +108,11 @@ def history(name: str, where: str = "TRUE", keys: str = "city, property_id", sou
   FROM {name}_points)"""
 
 
-def merged(name: str, before: str, batch: str, day: str) -> str:
-    """CTE ``name``: history ``before`` after the rows of ``batch``, dated ``day``."""
+def merged(name: str, before: str, batch: str, day: str, once: bool = False) -> str:
+    """CTE ``name``: history ``before`` after the rows of ``batch``, dated ``day``.
+
+    ``once``: an ended version is kept once, not for each row that ends it.
+    """
     plain = [c.strip() for c in GOLD_COLUMNS.split(",")]
     closing = {"is_current": "FALSE", "valid_to": f"DATE '{day}'"}
     opening = {"is_current": "TRUE", "valid_from": f"DATE '{day}'", "valid_to": "CAST(NULL AS DATE)"}
@@ -123,7 +126,8 @@ def merged(name: str, before: str, batch: str, day: str) -> str:
   SELECT {listed("g", {})} FROM {before} AS g
   WHERE NOT EXISTS (SELECT 1 FROM {batch} AS b WHERE {same_id} AND b.price <> g.price)
   UNION ALL
-  SELECT {listed("g", closing)} FROM {before} AS g JOIN {batch} AS b ON {same_id} AND b.price <> g.price
+  SELECT {listed("g", closing)} FROM {before} AS g
+  {"SEMI" if once else ""} JOIN {batch} AS b ON {same_id} AND b.price <> g.price
   UNION ALL
   SELECT {listed("b", opening)} FROM {batch} AS b
   WHERE NOT EXISTS (SELECT 1 FROM {before} AS g WHERE {same_id} AND b.price = g.price))"""
@@ -147,12 +151,22 @@ def months(first: str, last: str) -> list[str]:
     return found
 
 
-def replayed(first: str, last: str) -> tuple[list[str], str]:
+# Rows as the end-to-end runs see them: rejected records gone, and one row of a
+# listing with a city per day, since files do not carry the order of rows.
+REDUCED = OFFERS.replace("\noffers AS (", "\nall_offers AS (") + """,
+offers AS (
+  SELECT * FROM all_offers WHERE l_linenumber NOT IN (3, 4)
+  QUALIFY city IS NULL OR city = '' OR row_number() OVER (
+    PARTITION BY table_name, city, property_id, snapshot_date
+    ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1)"""
+
+
+def replayed(first: str, last: str, once: bool = False) -> tuple[list[str], str]:
     """CTEs that replay all snapshots from ``first`` on, and the final relation."""
     ctes, current = [OFFERS, history("g0", f"snapshot_date < DATE '{first}'")], "g0"
     for i, day in enumerate(months(first, last), start=1):
         ctes.append(batch(f"b{i}", f"snapshot_date = DATE '{day}'"))
-        ctes.append(merged(f"g{i}", current, f"b{i}", day))
+        ctes.append(merged(f"g{i}", current, f"b{i}", day, once))
         current = f"g{i}"
     return ctes, current
 
@@ -182,7 +196,7 @@ LINEAGE_COLUMNS = """file_hash, layer, file_name, run_id, status, retry_count, r
 NUMBERS = """
 numbers AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE l_orderkey % 10
+    CASE l_orderkey % 16
       WHEN 0 THEN CAST(l_partkey AS VARCHAR)
       WHEN 1 THEN ' ' || l_partkey || ' '
       WHEN 2 THEN '+' || l_partkey
@@ -192,14 +206,20 @@ numbers AS (
       WHEN 6 THEN l_partkey || ',' || l_suppkey
       WHEN 7 THEN l_partkey || '99999999' || l_orderkey
       WHEN 8 THEN '.' || l_suppkey
-      ELSE l_partkey || 'f' END AS text
+      WHEN 9 THEN l_partkey || 'f'
+      WHEN 10 THEN l_partkey || '_000'
+      WHEN 11 THEN '0x' || hex(l_partkey)
+      WHEN 12 THEN '0b' || bin(l_partkey)
+      WHEN 13 THEN l_partkey || '.4999999999999999999999'
+      WHEN 14 THEN l_partkey || '__' || l_suppkey || '.5'
+      ELSE '-' || l_partkey || '_1.0_5e' || l_linenumber END AS text
   FROM lineitem
 )"""
 
 DATES = """
 dates AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
-    CASE l_orderkey % 12
+    CASE l_orderkey % 18
       WHEN 0 THEN strftime(l_shipdate, '%Y-%m-%d')
       WHEN 1 THEN strftime(l_shipdate, '%Y/%m/%d')
       WHEN 2 THEN strftime(l_shipdate, '%Y-%-m-%-d')
@@ -211,7 +231,13 @@ dates AS (
       WHEN 8 THEN strftime(l_shipdate, '%-d-%-m-%Y')
       WHEN 9 THEN strftime(l_shipdate, '%Y%m%d')
       WHEN 10 THEN strftime(l_shipdate, '%Y-%m-%d#')
-      ELSE strftime(l_shipdate, '%Y-%m') END AS text
+      WHEN 11 THEN strftime(l_shipdate, '%Y-%m')
+      WHEN 12 THEN strftime(l_shipdate, '%Y-%m-%d junk')
+      WHEN 13 THEN strftime(l_shipdate, '%Y-%m-%d 10')
+      WHEN 14 THEN strftime(l_shipdate, '%-m-%-d-%y')
+      WHEN 15 THEN strftime(l_shipdate, '%-m/%-d/%y')
+      WHEN 16 THEN strftime(l_shipdate, '%Y-%m-%d 1:30:00.5')
+      ELSE strftime(l_shipdate, '%Y-%m-%d 24:00:00') END AS text
   FROM lineitem
 )"""
 
@@ -261,7 +287,7 @@ WHERE (table_name, property_id) IN (SELECT table_name, property_id FROM late_ids
     )
 
 
-def _stream_late() -> str:
+def _stream_late(once: bool = False) -> str:
     """As the rebuild, then the on-time rows of the late batch are merged."""
     base = _late_rebuilt()
     body, last = base.rsplit("\nSELECT " + GOLD_COLUMNS + " FROM was", 1)
@@ -275,7 +301,7 @@ on_time AS MATERIALIZED (
     return (
         body
         + ","
-        + ",".join([rebuilt, on_time, merged("final", "rebuilt", "on_time", LATE)])
+        + ",".join([rebuilt, on_time, merged("final", "rebuilt", "on_time", LATE, once)])
         + f"\nSELECT {GOLD_COLUMNS} FROM final"
     )
 
@@ -293,6 +319,7 @@ def _versions(select: str) -> str:
 def oracle_sql() -> dict[str, str]:
     replay, final = replayed(SPLIT, LAST)
     store, store_final = replayed(STORE_SPLIT, LAST)
+    stages, stages_final = replayed(STORE_SPLIT, LAST, once=True)
     one_batch = [
         OFFERS,
         history("g0", f"snapshot_date < DATE '{SPLIT}'"),
@@ -321,6 +348,8 @@ def oracle_sql() -> dict[str, str]:
         "price_cap": _with(SILVER, select=f"SELECT {_KEYED}, price FROM silver"),
         "price_per_area": _with(SILVER, select=f"SELECT {_KEYED}, price_per_marla FROM silver"),
         "geo_fence": _with(SILVER, select=f"SELECT {_KEYED}, latitude, longitude FROM silver"),
+        "file_content_hash": """SELECT 'page_' || page_id || '.csv' AS file_name,
+  octet_length(encode(html)) AS length, sha256(html) AS file_hash FROM pages""",
         "url_hash": "SELECT page_id, url, sha256(url) AS url_hash FROM pages",
         "silver_clean": _with(SILVER, select=f"SELECT {SILVER_COLUMNS} FROM silver"),
         # ---- files and names
@@ -332,6 +361,11 @@ def oracle_sql() -> dict[str, str]:
         ),
         "bronze_csv_roundtrip": _with(FEED, select=f"SELECT {raw} FROM feed"),
         "stream_bronze": _with(FEED, select=f"SELECT {raw} FROM feed"),
+        "bronze_batch_limit": _with(FEED, select=f"SELECT {raw} FROM feed"),
+        "pipeline_end_to_end": _with(
+            REDUCED, *stages[1:], select=f"SELECT {GOLD_COLUMNS} FROM {stages_final}"
+        ),
+        "stream_end_to_end": _stream_late(once=True).replace(OFFERS, REDUCED),
         "quarantine_split": _with(
             FEED,
             select="""SELECT snapshot_date, COUNT(*) FILTER (WHERE l_linenumber NOT IN (3, 4)) AS clean_rows,
@@ -344,7 +378,7 @@ FROM feed GROUP BY snapshot_date""",
         ),
         "layer_file_names": """SELECT page_id, 'page_' || page_id || '.csv' AS landing_name,
   'page_' || page_id || '.parquet' AS bronze_name, 'page_' || page_id || '_clean.parquet' AS silver_name,
-  'page_' || page_id || '_' || left(sha256(url), 8) || '.parquet' AS unique_name FROM pages""",
+  'page_' || page_id || '_' || sha256(url) || '.parquet' AS unique_name FROM pages""",
         "snapshot_date_from_name": _with(
             FILE_NAMES,
             select=r"""SELECT event_id, file_name, regexp_extract(file_name, '(\d{4}-\d{2}-\d{2})', 1) AS snapshot_text,
@@ -377,11 +411,16 @@ FROM names""",
         "scd2_bulk_timeline_by_id": _with(
             OFFERS, history("gold", keys="property_id"), select=f"SELECT {GOLD_COLUMNS} FROM gold"
         ),
+        "scd2_incremental_once": _with(
+            *one_batch[:3],
+            merged("g1", "g0", "b1", SPLIT, once=True),
+            select=f"SELECT {GOLD_COLUMNS} FROM g1",
+        ),
         "scd2_incremental": _with(*one_batch, select=f"SELECT {GOLD_COLUMNS} FROM g1"),
         "scd2_incremental_first_load": _with(*first_load, select=f"SELECT {GOLD_COLUMNS} FROM g1"),
         "scd2_replay": _with(*replay, select=f"SELECT {GOLD_COLUMNS} FROM {final}"),
         "stream_gold": _with(*store, select=f"SELECT {GOLD_COLUMNS} FROM {store_final}"),
-        "scd2_late_rebuild": _late_rebuilt(),
+        "scd2_late_rebuild": _stream_late(),
         "stream_late": _stream_late(),
         "stream_silver": _with(SILVER, select=f"SELECT {SILVER_COLUMNS} FROM silver"),
         # ---- Gold reads, checks and reports
@@ -532,6 +571,18 @@ SELECT file_hash, layer, arg_max('out_' || event_id || '.parquet', event_id) AS
   CASE WHEN arg_max(broken, event_id) THEN NULL ELSE max(event_id) * 10 END AS file_size_bytes,
   CASE WHEN arg_max(broken, event_id) THEN 'event ' || max(event_id) END AS error_message
 FROM records GROUP BY file_hash, layer""",
+        "lineage_release": _with(
+            LINEAGE,
+            """
+aside AS (SELECT * REPLACE (CASE WHEN status = 'FAILED' AND retry_count >= 3 THEN 'QUARANTINED'
+                                 ELSE status END AS status) FROM lineage)""",
+            """
+freed AS (SELECT min(file_hash) AS file_hash FROM aside WHERE status = 'QUARANTINED')""",
+            select="""SELECT file_hash, layer, file_name,
+  CASE WHEN status = 'QUARANTINED' AND file_hash = (SELECT file_hash FROM freed) THEN 'FAILED' ELSE status END AS status,
+  CASE WHEN status = 'QUARANTINED' AND file_hash = (SELECT file_hash FROM freed) THEN 0 ELSE retry_count END AS retry_count
+FROM aside""",
+        ),
         "lineage_delete_layer": _with(
             LINEAGE, select=f"SELECT {LINEAGE_COLUMNS} FROM lineage WHERE layer <> 'SILVER'"
         ),

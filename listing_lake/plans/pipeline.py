@@ -42,44 +42,49 @@ def _outcomes(files: DataFrame, layer: str, run_id: str | None) -> DataFrame:
     )
 
 
-def _hashes(files: DataFrame) -> list[str]:
-    """Hashes of one run's files; a path list the reader needs on the driver anyway."""
-    return [row[0] for row in files.select("file_hash").collect()]
-
-
 # ------------------------------------------------------------------ Bronze
 
 
 def bronze_ingest(
     lake: Lake, run_id: str | None, now: dt.datetime, batch_limit: int = 0
 ) -> None:
-    """Take in every landing file whose content is new.
+    """Take in landing files whose content is new, at most ``batch_limit`` (0: all).
 
-    The limit cuts the listing before known files are skipped. Landing files
-    are never deleted; the lineage decides what is new.
+    A file whose path, length and time are those it had when it was taken in is
+    known without reading it, so it neither costs a read nor uses up the limit.
+    Landing files are never deleted.
     """
-    files = ops.first_files(
-        landing.list_files(lake.spark, lake.landing), batch_limit, "file_name"
-    )
-    ingest_files(lake, files, run_id, now)
+    listed = landing.list_files(lake.spark, lake.landing)
+    handled = ops.in_state(lake.lineage.read(), rules.BRONZE, rules.SUCCESS, rules.QUARANTINED)
+    known = lake.seen().join(handled, "file_hash", "left_semi").select("path", "length", "modified")
+    files = listed.join(known, ["path", "length", "modified"], "left_anti").select(*listed.columns)
+    files = ops.first_files(files, batch_limit, "file_name", "path")
+    # a limit leaves one partition; hashing is per file and heavy
+    tasks = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+    ingest_files(lake, files.repartition(tasks), run_id, now)
 
 
 def ingest_files(
     lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime
 ) -> None:
-    """Hash, read, stamp and store landing files; bad records go to quarantine."""
-    prints = landing.fingerprints(files).withColumns(
-        {
-            "error": naming.error_text(
-                F.coalesce(
-                    "error",
-                    F.when(~naming.is_landing_name(F.col("file_name")), "unexpected file name"),
-                )
-            ),
-            "file_hash": F.coalesce(
-                "file_hash", F.concat(F.lit("nohash:"), F.sha2("path", 256))
-            ),
-        }
+    """Hash, read, stamp and store landing files; bad records go to quarantine.
+
+    A file all of whose records are rejected has failed.
+    """
+    prints = stored(
+        landing.fingerprints(files).withColumns(
+            {
+                "error": naming.error_text(
+                    F.coalesce(
+                        "error",
+                        F.when(~naming.is_landing_name(F.col("file_name")), "unexpected file name"),
+                    )
+                ),
+                "file_hash": F.coalesce(
+                    "file_hash", F.concat(F.lit("nohash:"), F.sha2("path", 256))
+                ),
+            }
+        )
     )
     # equal files in one batch count once; hashing is not repeated downstream
     first = prints.groupBy("file_hash").agg(
@@ -89,6 +94,7 @@ def ingest_files(
         ops.unprocessed(first.select("file_hash", "f.*"), lake.lineage.read(), rules.BRONZE)
     )
     if todo.isEmpty():
+        lake.remember(prints)
         return
     good, bad = todo.filter("error IS NULL"), todo.filter("error IS NOT NULL")
 
@@ -117,23 +123,33 @@ def ingest_files(
     )
     lake.write_bronze(stamped)
 
-    facts = lake.bronze_facts(_hashes(good))
-    done = (
-        good.join(facts, "file_hash", "left")
+    refused = lake.quarantine(good).groupBy("file_hash").agg(F.count(F.lit(1)).alias("_refused"))
+    read = (
+        good.drop("error")
+        .join(lake.bronze_facts(good), "file_hash", "left")
+        .join(refused, "file_hash", "left")
         .withColumn("row_count", F.coalesce("row_count", F.lit(0)))
-        .withColumn("status", F.lit(rules.SUCCESS))
+        .withColumn("status", F.when((F.col("_refused") > 0) & (F.col("row_count") == 0), rules.FAILED).otherwise(rules.SUCCESS))
+        .withColumn(
+            "error_message",
+            F.when(
+                F.col("_refused") > 0,
+                F.format_string("%d of %d records rejected", "_refused", F.col("_refused") + F.col("row_count")),
+            ),
+        )
     )
     failed = bad.withColumn("status", F.lit(rules.FAILED)).withColumnRenamed(
         "error", "error_message"
     )
     lake.lineage.record(
         _outcomes(
-            done.withColumn("file_name", naming.bronze_name(F.col("file_name"))),
+            read.withColumn("file_name", naming.bronze_name(F.col("file_name"))),
             rules.BRONZE,
             run_id,
         ).unionByName(_outcomes(failed, rules.BRONZE, run_id)),
         now,
     )
+    lake.remember(prints)
 
 
 # ------------------------------------------------------------------ Silver
@@ -142,42 +158,64 @@ def ingest_files(
 def silver_transform(
     lake: Lake, run_id: str | None, now: dt.datetime, batch_limit: int = 0
 ) -> None:
-    """Clean every Bronze file that has not been cleaned yet, all in one job."""
+    """Clean every Bronze file that has not been cleaned yet, all in one job.
+
+    If the job fails, its files are tried one by one, so that only those that
+    fail themselves are recorded as failed. Files whose Bronze data is gone get
+    no outcome and do not use up the limit.
+    """
     waiting = ops.eligible(lake.lineage.read(), rules.SILVER, rules.BRONZE)
-    if batch_limit == 0:
-        hashes = _hashes(waiting)
-    else:
-        # a file whose data is gone does not use up the limit
-        held = lake.bronze(_hashes(waiting)).select("file_hash").distinct()
-        present = waiting.join(held, "file_hash", "left_semi").unionByName(
-            waiting.filter("row_count = 0")
-        )
-        hashes = _hashes(ops.first_files(present, batch_limit, "file_name"))
-    if not hashes:
-        return
-    bronze = lake.bronze(hashes).withColumn(
-        "snapshot_date", naming.snapshot_date(F.col("_source_file"))
+    held = lake.bronze(waiting).select("file_hash").distinct()
+    present = waiting.join(held, "file_hash", "left_semi").unionByName(
+        waiting.join(held, "file_hash", "left_anti").filter("row_count = 0")
     )
-    lake.write_silver(
-        silver_clean(bronze, run_id, now.isoformat(), carry=("snapshot_date", "file_hash"))
-    )
-
-    written = stored(lake.silver_facts(hashes))
-    # files that are gone have no rows and are tried again; empty ones are done
-    done = (
-        waiting.filter(F.col("file_hash").isin(hashes) if batch_limit else F.lit(True))
-        .withColumnRenamed("row_count", "_bronze_rows")
-        .join(written, "file_hash", "left")
-        .filter("row_count IS NOT NULL OR _bronze_rows = 0")
+    files = stored(ops.first_files(present, batch_limit, "file_name", "file_hash"))
+    if not files.isEmpty():
+        clean_files(lake, files, run_id, now)
+
+
+def clean_files(lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime) -> None:
+    """Clean whole Bronze files (file_hash, file_name, row_count) and record the outcomes."""
+    done, failed = files, None
+    try:
+        _write_silver(lake, files, run_id, now)
+    except Exception:
+        errors = []
+        for file in files.select("file_hash").toLocalIterator():
+            try:
+                _write_silver(lake, files.filter(F.col("file_hash") == file["file_hash"]), run_id, now)
+            except Exception as failure:
+                errors.append((file["file_hash"], str(failure)))
+        found = lake.spark.createDataFrame(errors, "file_hash string, error_message string")
+        failed = files.join(found, "file_hash").drop("row_count").withColumns(
+            {"status": F.lit(rules.FAILED), "error_message": naming.error_text(F.col("error_message"))}
+        )
+        done = files.join(found, "file_hash", "left_anti")
+    outcomes = _outcomes(
+        done.drop("row_count")
+        .join(lake.silver_facts(done), "file_hash", "left")
         .withColumns(
             {
                 "row_count": F.coalesce("row_count", F.lit(0)),
                 "file_name": naming.silver_name(F.col("file_name")),
                 "status": F.lit(rules.SUCCESS),
             }
-        )
+        ),
+        rules.SILVER,
+        run_id,
+    )
+    if failed is not None:
+        outcomes = outcomes.unionByName(_outcomes(failed, rules.SILVER, run_id))
+    lake.lineage.record(outcomes, now)
+
+
+def _write_silver(lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime) -> None:
+    bronze = lake.bronze(files).withColumn(
+        "snapshot_date", naming.snapshot_date(F.col("_source_file"))
+    )
+    lake.write_silver(
+        silver_clean(bronze, run_id, now.isoformat(), carry=("snapshot_date", "file_hash"))
     )
-    lake.lineage.record(_outcomes(done, rules.SILVER, run_id), now)
 
 
 # ------------------------------------------------------------------ Gold
@@ -193,19 +231,23 @@ def gold_publish(
     run_id: str | None,
     now: dt.datetime,
     late: str = MERGE,
-    copies: str = "per_match",
+    copies: str = scd2.ONCE,
 ) -> str | None:
     """Bring all waiting Silver files into Gold; returns the mode used.
 
     ``late`` says what to do with files older than versions already stored:
     ``merge`` applies them like any other file, ``rebuild`` recomputes the
-    history of the ids they touch.
+    history of the ids they touch. ``copies``: see ``merge_open``. Files whose
+    Silver data is missing get no outcome and stay waiting.
     """
     lake.gold.create_if_missing(now)
     in_gold = lake.gold.committed_files().withColumn("in_gold", F.lit(True))
+    ready = ops.eligible(lake.lineage.read(), rules.GOLD, rules.SILVER)
+    held = lake.silver(ready).select("file_hash").distinct().withColumn("held", F.lit(True))
     waiting = stored(
-        ops.eligible(lake.lineage.read(), rules.GOLD, rules.SILVER)
-        .join(in_gold, "file_hash", "left")
+        ready.join(in_gold, "file_hash", "left")
+        .join(held, "file_hash", "left")
+        .filter("held OR in_gold OR row_count = 0")
         .withColumn("snapshot_date", naming.snapshot_date(F.col("file_name")))
     )
     # files an earlier run committed without getting to the lineage
@@ -238,38 +280,49 @@ def _gold_outcomes(files: DataFrame, status: str, run_id: str | None, error: str
 
 def _publish_bulk(lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime) -> None:
     dated = files.filter("snapshot_date IS NOT NULL")
-    history = scd2.bulk_history(lake.silver(_hashes(dated)), now.isoformat())
-    lake.gold.publish(history, BULK, now, file_hashes=dated)
-    undated = files.filter("snapshot_date IS NULL")
-    lake.lineage.record(
-        _gold_outcomes(dated, rules.SUCCESS, run_id).unionByName(
-            _gold_outcomes(undated, rules.FAILED, run_id, "no snapshot date in the file name")
-        ),
-        now,
+    undated = _gold_outcomes(
+        files.filter("snapshot_date IS NULL"), rules.FAILED, run_id, "no snapshot date in the file name"
     )
+    try:
+        history = scd2.bulk_history(lake.silver(dated), now.isoformat())
+        lake.gold.publish(history, BULK, now, file_hashes=dated)
+    except Exception as failure:
+        lake.lineage.record(
+            _gold_outcomes(dated, rules.FAILED, run_id, str(failure)).unionByName(undated), now
+        )
+        raise
+    lake.lineage.record(_gold_outcomes(dated, rules.SUCCESS, run_id).unionByName(undated), now)
 
 
 def _publish_in_order(
     lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime, late: str, copies: str
 ) -> None:
-    """One version per file in name order; each depends on the one before."""
-    for file in files.orderBy("file_name").collect():
+    """One version per file by date, then name and hash; each depends on the one before.
+
+    The outcomes are recorded together at the end. A run that dies before that
+    loses nothing: the next one finds the files among the committed ones.
+    """
+    day = F.coalesce("snapshot_date", F.lit(now.date()))
+    ordered = files.withColumn("day", day).orderBy("day", "file_name", "file_hash")
+    failed = None
+    for file in ordered.toLocalIterator():
         one = files.filter(F.col("file_hash") == file["file_hash"])
-        day = file["snapshot_date"] or now.date()
         try:
             merge_batch(
-                lake,
-                lake.silver([file["file_hash"]]),
-                day,
-                now,
-                file_hashes=one,
-                late=late,
-                copies=copies,
+                lake, lake.silver(one), file["day"], now, file_hashes=one, late=late, copies=copies
             )
         except Exception as failure:
-            lake.lineage.record(_gold_outcomes(one, rules.FAILED, run_id, str(failure)), now)
-            raise
-        lake.lineage.record(_gold_outcomes(one, rules.SUCCESS, run_id), now)
+            failed = (one, failure)
+            break
+    finished = files.join(lake.gold.committed_files().distinct(), "file_hash", "left_semi")
+    outcomes = _gold_outcomes(finished, rules.SUCCESS, run_id)
+    if failed:
+        outcomes = outcomes.unionByName(
+            _gold_outcomes(failed[0], rules.FAILED, run_id, str(failed[1]))
+        )
+    lake.lineage.record(outcomes, now)
+    if failed:
+        raise failed[1]
 
 
 def merge_batch(
@@ -280,7 +333,7 @@ def merge_batch(
     file_hashes: DataFrame | None = None,
     batch_key: str | None = None,
     late: str = MERGE,
-    copies: str = "per_match",
+    copies: str = scd2.ONCE,
 ) -> None:
     """Merge the Silver rows of one date into both Gold tables as one version."""
     ids = ("table_name", *scd2.MERGE_KEYS)
@@ -289,9 +342,9 @@ def merge_batch(
     gold = lake.gold.read()
     if late == REBUILD:
         late_rows, on_time = scd2.split_late(incoming, gold, ids)
-        late_ids = stored(late_rows.select(*ids).distinct())
-        if not late_ids.isEmpty():
-            _rebuild_and_merge(lake, gold, late_ids, on_time, day, now, file_hashes, batch_key, copies)
+        late_days = stored(late_rows.select(*ids, "valid_from").distinct())
+        if not late_days.isEmpty():
+            _rebuild_and_merge(lake, gold, late_days, on_time, day, now, file_hashes, batch_key, copies)
             return
     merged = scd2.merge_open(
         scd2.current_rows(gold), incoming, F.lit(day), stamp, ids, copies=copies
@@ -302,7 +355,7 @@ def merge_batch(
 def _rebuild_and_merge(
     lake: Lake,
     gold: DataFrame,
-    late_ids: DataFrame,
+    late_days: DataFrame,
     on_time: DataFrame,
     day: dt.date,
     now: dt.datetime,
@@ -310,9 +363,21 @@ def _rebuild_and_merge(
     batch_key: str | None,
     copies: str,
 ) -> None:
-    """Late ids get a new history from all of Silver, the rest a normal merge."""
+    """Late ids get a new history from all of Silver, the rest a normal merge.
+
+    Refused if Silver lacks the day of a late row, or of any version that the new
+    history replaces: it would be lost.
+    """
     ids = ("table_name", *scd2.MERGE_KEYS)
     stamp = now.isoformat()
+    days = scd2.only_traded(scd2.has_city(lake.silver())).select(
+        *ids, F.col("snapshot_date").alias("valid_from")
+    )
+    late_ids = late_days.select(*ids).distinct()
+    replaced = scd2.has_city(gold).select(*ids, "valid_from").join(late_ids, list(ids), "left_semi")
+    lost = replaced.unionByName(late_days).join(days, [*ids, "valid_from"], "left_anti")
+    if not lost.isEmpty():
+        raise ValueError(f"Silver lacks rows of stored versions, for example of {lost.first().asDict()}")
     # the merge reads it several times
     rebuilt = stored(scd2.rebuild_late(gold, lake.silver(), late_ids, stamp, ids))
     merged = scd2.merge(rebuilt, on_time, F.lit(day), stamp, ids, copies=copies)
@@ -332,7 +397,7 @@ def export_history(lake: Lake, table: str, folder: str) -> None:
 
 
 def rollback_layer(lake: Lake, layer: str, now: dt.datetime) -> None:
-    """Take a layer back to the end of the one before, data and lineage."""
+    """Take a layer back to the end of the one before: data, lineage and stream position."""
     if layer == rules.GOLD:
         lake.gold.reset(now)
     elif layer == rules.SILVER:
@@ -342,6 +407,7 @@ def rollback_layer(lake: Lake, layer: str, now: dt.datetime) -> None:
     else:
         raise ValueError(f"unknown layer {layer!r}")
     lake.lineage.delete_layer(layer, now)
+    lake.restart_stream(layer, now)
 
 
 def _empty(rows: DataFrame, folder: str) -> None:

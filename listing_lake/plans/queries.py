@@ -29,6 +29,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 NOW = dt.datetime(2025, 1, 3, tzinfo=dt.timezone.utc)
 CLEANED = dt.datetime(2025, 1, 2, tzinfo=dt.timezone.utc)
 ARRIVED = dt.datetime(2025, 1, 1, tzinfo=dt.timezone.utc)
+PER_MATCH = scd2.PER_MATCH
 SPLIT, STORE_SPLIT, LATE = "2001-01-01", "2001-10-01", "1998-01-01"
 
 BOTH_IDS = ("table_name", *scd2.MERGE_KEYS)
@@ -88,6 +89,12 @@ def _numbers(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(part, F.lit("99999999"), F.col("l_orderkey")),
         F.concat(F.lit("."), supp),
         F.concat(part, F.lit("f")),
+        F.concat(part, F.lit("_000")),
+        F.concat(F.lit("0x"), F.hex(part)),
+        F.concat(F.lit("0b"), F.bin(part)),
+        F.concat(part, F.lit(".4999999999999999999999")),
+        F.concat(part, F.lit("__"), supp, F.lit(".5")),
+        F.concat(F.lit("-"), part, F.lit("_1.0_5e"), F.col("l_linenumber")),
     ]
     return _line_texts(spark, sf, forms)
 
@@ -111,6 +118,12 @@ def _date_texts(spark: SparkSession, sf: str) -> DataFrame:
         shown("yyyyMMdd"),
         F.concat(shown("yyyy-MM-dd"), F.lit("#")),
         shown("yyyy-MM"),
+        F.concat(shown("yyyy-MM-dd"), F.lit(" junk")),
+        F.concat(shown("yyyy-MM-dd"), F.lit(" 10")),
+        shown("M-d-yy"),
+        shown("M/d/yy"),
+        F.concat(shown("yyyy-MM-dd"), F.lit(" 1:30:00.5")),
+        F.concat(shown("yyyy-MM-dd"), F.lit(" 24:00:00")),
     ]
     return _line_texts(spark, sf, forms)
 
@@ -192,14 +205,18 @@ def _split_gold(spark: SparkSession, sf: str, split: str) -> tuple[DataFrame, Da
     )
 
 
-def _merged(gold: DataFrame, silver: DataFrame, day: dt.date | str) -> DataFrame:
+def _merged(gold: DataFrame, silver: DataFrame, day: dt.date | str, copies: str = PER_MATCH) -> DataFrame:
     incoming = scd2.incoming_versions(silver, F.lit(day), td.LOADED_AT)
-    return scd2.merge(gold, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS)
+    return scd2.merge(gold, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS, copies=copies)
 
 
-def _scd2_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    gold, rest = _split_gold(spark, sf, SPLIT)
-    return _merged(stored(gold), stored(rest), SPLIT)
+def _scd2_incremental(copies: str) -> Query:
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        silver = stored(td.silver(spark, sf))
+        before = F.col(DAY) < F.lit(SPLIT).cast("date")
+        return _merged(stored(_history(silver.filter(before))), silver.filter(~before), SPLIT, copies)
+
+    return query
 
 
 def _scd2_first_load(spark: SparkSession, sf: str) -> DataFrame:
@@ -219,7 +236,9 @@ def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
             rest.filter(F.col(DAY) == day), F.lit(day), td.LOADED_AT
         )
         step = stored(
-            scd2.merge_open(still_open, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS)
+            scd2.merge_open(
+                still_open, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS, copies=PER_MATCH
+            )
         )
         closed = closed.unionByName(scd2.closed_rows(step))
         still_open = scd2.current_rows(step)
@@ -231,10 +250,11 @@ def _scd2_late_rebuild(spark: SparkSession, sf: str) -> DataFrame:
     is_late = F.col(DAY) == F.lit(LATE).cast("date")
     gold = stored(_history(silver.filter(~is_late)))
     batch = scd2.incoming_versions(silver.filter(is_late), F.lit(LATE), td.LOADED_AT)
-    late, _ = scd2.split_late(batch, gold, BOTH_IDS)
-    return scd2.rebuild_late(
-        gold, silver, late, td.LOADED_AT, BOTH_IDS, tie_break=td.TIE_BREAK
+    late, on_time = scd2.split_late(batch, gold, BOTH_IDS)
+    rebuilt = stored(
+        scd2.rebuild_late(gold, silver, late, td.LOADED_AT, BOTH_IDS, tie_break=td.TIE_BREAK)
     )
+    return scd2.merge(rebuilt, on_time, F.lit(LATE), td.LOADED_AT, BOTH_IDS, copies=PER_MATCH)
 
 
 # ---------------------------------------------------------------- files
@@ -244,20 +264,72 @@ def _landing(spark: SparkSession, sf: str, broken: bool = False) -> Lake:
     """A lake whose landing folder holds the feed as CSV files."""
     lake = Lake(spark, work_dir(spark, "lake"))
     rows = td.feed(spark, sf)
-    if broken:
-        number = F.col("l_linenumber")
-        end = F.when(number == 3, ",surplus").when(number == 4, ',"a,b",c').otherwise("")
-        rows = rows.withColumn("_line_end", end)
-    td.write_landing(rows, lake.landing)
+    td.write_landing(_broken(rows) if broken else rows, lake.landing)
     return lake
 
 
+def _broken(rows: DataFrame) -> DataFrame:
+    """Line ends that make some records longer than the header."""
+    number = F.col("l_linenumber")
+    end = F.when(number == 3, ",surplus").when(number == 4, ',"a,b",c').otherwise("")
+    return rows.withColumn("_line_end", end)
+
+
 def _raw(lake: Lake) -> DataFrame:
     return lake.bronze().select(
         *schemas.RAW_COLUMNS, naming.snapshot_date(F.col("_source_file")).alias(DAY)
     )
 
 
+def _bronze_batch_limit(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs with a limit of a third of the files; each takes the next ones in."""
+    lake = Lake(spark, work_dir(spark, "lake"))
+    files = td.write_landing(td.feed(spark, sf), lake.landing)
+    for _ in range(3):
+        pipeline.bronze_ingest(lake, td.RUN_ID, ARRIVED, batch_limit=-(-files // 3))
+    return _raw(lake)
+
+
+def _one_a_day(spark: SparkSession, sf: str) -> DataFrame:
+    """The feed with one row of a listing per day, and records that do not fit the header."""
+    rows = _broken(td.feed(spark, sf))
+    bad = F.col("_line_end") != ""
+    placed = F.col("city") != ""
+    daily = scd2.one_per_day(
+        rows.filter(~bad & placed), ("purpose", "city", "property_id"), DAY, td.TIE_BREAK
+    )
+    return daily.unionByName(rows.filter(bad)).unionByName(
+        rows.filter(~bad & ~F.coalesce(placed, F.lit(False)))
+    )
+
+
+def _pipeline_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """All batch steps on files of the early snapshots, then again with the later ones."""
+    lake, rows = Lake(spark, work_dir(spark, "lake")), stored(_one_a_day(spark, sf))
+    early = F.col(DAY) < F.lit(STORE_SPLIT).cast("date")
+    for part in (rows.filter(early), rows.filter(~early)):
+        td.write_landing(part, lake.landing, split_days=False)
+        pipeline.bronze_ingest(lake, td.RUN_ID, ARRIVED)
+        pipeline.silver_transform(lake, td.RUN_ID, CLEANED)
+        pipeline.gold_publish(lake, td.RUN_ID, NOW)
+    return lake.gold.read()
+
+
+def _stream_end_to_end(spark: SparkSession, sf: str) -> DataFrame:
+    """All but one early snapshot is streamed in and published; then that file arrives."""
+    lake, rows = Lake(spark, work_dir(spark, "lake")), stored(_one_a_day(spark, sf))
+    is_late = F.col(DAY) == F.lit(LATE).cast("date")
+    for part in (rows.filter(~is_late), rows.filter(is_late)):
+        td.write_landing(part, lake.landing, split_days=False)
+        streams.stream_bronze(lake, td.RUN_ID, ARRIVED)
+        streams.stream_silver(lake, td.RUN_ID, CLEANED)
+        if lake.gold.is_empty():
+            pipeline.gold_publish(lake, td.RUN_ID, NOW)
+        else:
+            streams.stream_gold(lake, lake.silver_dir, NOW, late=pipeline.REBUILD)
+    return lake.gold.read()
+
+
 def _bronze_csv_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     lake = _landing(spark, sf)
     pipeline.bronze_ingest(lake, td.RUN_ID, ARRIVED)
@@ -271,9 +343,12 @@ def _stream_bronze(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _file_content_hash(spark: SparkSession, sf: str) -> DataFrame:
-    lake = _landing(spark, sf)
-    return landing.fingerprints(landing.list_files(spark, lake.landing)).select(
-        "file_name", "length", "file_hash", "header", "multi_line"
+    """One file for each web page, with the page as its bytes."""
+    folder = work_dir(spark, "pages")
+    named = F.concat(F.lit("page_"), "page_id", F.lit(".csv")).alias("file_name")
+    td.write_files(td.table(spark, sf, "pages").select(named, F.col("html").alias("content")), folder)
+    return landing.fingerprints(landing.list_files(spark, folder)).select(
+        "file_name", "length", "file_hash"
     )
 
 
@@ -302,7 +377,7 @@ def _stored_gold(spark: SparkSession, sf: str) -> Lake:
     lake.gold.publish(gold, pipeline.BULK, NOW)
     rest = stored(rest)
     for (day,) in rest.select(DAY).distinct().orderBy(DAY).collect():
-        pipeline.merge_batch(lake, rest.filter(F.col(DAY) == day), day, NOW)
+        pipeline.merge_batch(lake, rest.filter(F.col(DAY) == day), day, NOW, copies=PER_MATCH)
     return lake
 
 
@@ -327,7 +402,7 @@ def _gold_rollback(spark: SparkSession, sf: str) -> DataFrame:
     gold, rest = _split_gold(spark, sf, SPLIT)
     bulk = lake.gold.publish(gold, pipeline.BULK, NOW)
     states = _counted(lake, state="1 bulk")
-    pipeline.merge_batch(lake, stored(rest), dt.date.fromisoformat(SPLIT), NOW)
+    pipeline.merge_batch(lake, stored(rest), dt.date.fromisoformat(SPLIT), NOW, copies=PER_MATCH)
     states = states.unionByName(_counted(lake, state="2 merged"))
     lake.gold.restore(bulk, NOW)
     states = states.unionByName(_counted(lake, state="3 restored"))
@@ -348,7 +423,8 @@ def _gold_empty_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, work_dir(spark, "lake"))
     lake.gold.create_if_missing(NOW)
     lake.gold.create_if_missing(NOW)
-    pipeline.merge_batch(lake, stored(td.silver(spark, sf)), dt.date.fromisoformat(SPLIT), NOW)
+    whole = stored(td.silver(spark, sf))
+    pipeline.merge_batch(lake, whole, dt.date.fromisoformat(SPLIT), NOW, copies=PER_MATCH)
     return lake.gold.read()
 
 
@@ -363,17 +439,23 @@ def _silver_files(spark: SparkSession, silver: DataFrame) -> str:
 
 def _stream_silver(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, work_dir(spark, "lake"))
-    source = work_dir(spark, "bronze")
-    td.bronze(spark, sf).select(*schemas.BRONZE.names).write.parquet(source)
-    streams.stream_silver(lake, source, td.RUN_ID, CLEANED)
-    return spark.read.parquet(lake.silver_dir).select(*schemas.SILVER.names)
+    rows = td.bronze(spark, sf).select(*schemas.BRONZE.names)
+    # a rejected record of each file stays behind
+    refused = rows.select("_source_file").distinct().withColumn("quarantined", F.lit(True))
+    lake.write_bronze(
+        rows.withColumn("quarantined", F.lit(False))
+        .unionByName(refused, allowMissingColumns=True)
+        .withColumn("file_hash", F.sha2("_source_file", 256))
+    )
+    streams.stream_silver(lake, td.RUN_ID, CLEANED)
+    return lake.silver().select(*schemas.SILVER.names)
 
 
 def _stream_gold(spark: SparkSession, sf: str) -> DataFrame:
     lake = Lake(spark, work_dir(spark, "lake"))
     gold, rest = _split_gold(spark, sf, STORE_SPLIT)
     lake.gold.publish(gold, pipeline.BULK, NOW)
-    streams.stream_gold(lake, _silver_files(spark, rest), NOW)
+    streams.stream_gold(lake, _silver_files(spark, rest), NOW, copies=PER_MATCH)
     return lake.gold.read()
 
 
@@ -394,7 +476,7 @@ def _stream_late(spark: SparkSession, sf: str) -> DataFrame:
     )
     lake.gold.publish(_history(silver.filter(~is_late)), pipeline.BULK, NOW)
     streams.stream_gold(
-        lake, _silver_files(spark, silver.filter(is_late)), NOW, late=pipeline.REBUILD
+        lake, _silver_files(spark, silver.filter(is_late)), NOW, late=pipeline.REBUILD, copies=PER_MATCH
     )
     return lake.gold.read()
 
@@ -452,6 +534,14 @@ def _lineage_listing(lineage: DataFrame) -> DataFrame:
     )
 
 
+def _lineage_release(spark: SparkSession, sf: str) -> DataFrame:
+    aside = lin.set_aside(_lineage(spark, sf), 3)
+    held = aside.filter(F.col("status") == rules.QUARANTINED)
+    freed = held.agg(F.min("file_hash")).first()[0] or ""
+    released = lin.release(aside, freed, F.lit(NOW).cast("timestamp"))
+    return released.select("file_hash", "layer", "file_name", "status", "retry_count")
+
+
 def _lineage_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """First half of the events makes the lineage, second half updates it."""
     events = td.table(spark, sf, "events")
@@ -498,7 +588,8 @@ def queries() -> dict[str, Query]:
         "scd2_bulk_timeline_by_id": lambda spark, sf: _history(
             td.silver(spark, sf), scd2.MERGE_KEYS
         ),
-        "scd2_incremental": _scd2_incremental,
+        "scd2_incremental": _scd2_incremental(PER_MATCH),
+        "scd2_incremental_once": _scd2_incremental(scd2.ONCE),
         "scd2_incremental_first_load": _scd2_first_load,
         "scd2_replay": _scd2_replay,
         "scd2_late_rebuild": _scd2_late_rebuild,
@@ -521,6 +612,9 @@ def queries() -> dict[str, Query]:
             "property_id", "page_url", *td.TIE_BREAK, "_ingested_at", "_run_id", "_source_file"
         ),
         "bronze_csv_roundtrip": _bronze_csv_roundtrip,
+        "bronze_batch_limit": _bronze_batch_limit,
+        "pipeline_end_to_end": _pipeline_end_to_end,
+        "stream_end_to_end": _stream_end_to_end,
         "file_content_hash": _file_content_hash,
         "quarantine_split": _quarantine_split,
         "file_row_counts": _file_row_counts,
@@ -579,6 +673,7 @@ def queries() -> dict[str, Query]:
             lambda l: lin.first_files(lin.eligible(l, rules.GOLD, rules.SILVER), 20, "file_name")
         ),
         "lineage_upsert": _lineage_upsert,
+        "lineage_release": _lineage_release,
         "lineage_delete_layer": _on_lineage(
             lambda l: lin.delete_layer(l, rules.SILVER).drop("created_at")
         ),

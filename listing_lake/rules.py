@@ -31,9 +31,6 @@ ERROR_TEXT_LENGTH = 500
 BRONZE, SILVER, GOLD = "BRONZE", "SILVER", "GOLD"
 SUCCESS, FAILED, QUARANTINED = "SUCCESS", "FAILED", "QUARANTINED"
 
-# A file that failed this often is set aside for a person to look at.
-MAX_RETRIES = 3
-
 # Columns a Silver table must have, and those that must never be NULL.
 SILVER_CONTRACT = (
     "url_hash",

@@ -6,7 +6,7 @@ file again replaces exactly its own rows and two files of one name never meet.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
 from functools import cached_property
 
 from pyspark.errors import AnalysisException
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DateType, StringType, StructField, StructType
 
 from listing_lake import schemas
+from listing_lake.sources import commits
 from listing_lake.sources.gold_store import GoldStore
 from listing_lake.sources.lineage_table import LineageTable
 
@@ -36,90 +37,122 @@ SILVER_ON_DISK = StructType(
 )
 
 
+_SEEN = "path string, length bigint, modified timestamp, file_hash string"
+_RESTARTS = "layer string, restarted_at timestamp"
+
+
 class Lake:
-    def __init__(self, spark: SparkSession, root: str, landing: str | None = None):
-        self.spark, self.root = spark, root.rstrip("/")
+    """``max_retries``: failures after which a file is set aside; None tries for ever."""
+
+    def __init__(
+        self, spark: SparkSession, root: str, landing: str | None = None, max_retries: int | None = None
+    ):
+        self.spark, self.root, self.max_retries = spark, root.rstrip("/"), max_retries
         self.landing = landing or f"{self.root}/landing"
         self.bronze_dir = f"{self.root}/bronze"
         self.silver_dir = f"{self.root}/silver"
 
     @cached_property
     def lineage(self) -> LineageTable:
-        return LineageTable(self.spark, f"{self.root}/lineage")
+        return LineageTable(self.spark, f"{self.root}/lineage", self.max_retries)
 
     @cached_property
     def gold(self) -> GoldStore:
         return GoldStore(self.spark, f"{self.root}/gold")
 
+    # ------------------------------------------------------------ landing
+
+    def seen(self) -> DataFrame:
+        """What landing files were when they were last hashed, and their hashes."""
+        schema = self.spark.createDataFrame([], _SEEN).schema
+        return commits.read_or_empty(self.spark, f"{self.root}/seen", schema)
+
+    def remember(self, prints: DataFrame) -> None:
+        prints.select("path", "length", "modified", "file_hash").write.mode("append").parquet(
+            f"{self.root}/seen"
+        )
+
+    # ------------------------------------------------------------ streams
+
+    def checkpoint(self, layer: str) -> str:
+        """Where the stream of a layer keeps its position; a rollback begins a new one."""
+        return f"{self.root}/streams/{layer.lower()}-{self._restarts().filter(F.col('layer') == layer).count()}"
+
+    def _restarts(self) -> DataFrame:
+        schema = self.spark.createDataFrame([], _RESTARTS).schema
+        return commits.read_or_empty(self.spark, f"{self.root}/restarts", schema)
+
+    def restart_stream(self, layer: str, now: dt.datetime) -> None:
+        commits.append(self.spark.createDataFrame([(layer, now)], _RESTARTS), f"{self.root}/restarts")
+
     # ------------------------------------------------------------ Bronze
 
-    def bronze(self, hashes: Sequence[str] | None = None) -> DataFrame:
-        """Clean raw rows of the given files, or of all."""
-        stored = self._stored(self.bronze_dir, "quarantined=false", hashes, BRONZE_ON_DISK)
-        return self._or_empty(stored, BRONZE_ON_DISK).select(*schemas.BRONZE.names, "file_hash")
+    def bronze(self, files: DataFrame | None = None) -> DataFrame:
+        """Clean raw rows of the given files (file_hash), or of all."""
+        stored = self._rows(self.bronze_dir, "quarantined=false", BRONZE_ON_DISK)
+        return self._of(stored, files).select(*schemas.BRONZE.names, "file_hash")
 
-    def quarantine(self, hashes: Sequence[str] | None = None) -> DataFrame:
+    def quarantine(self, files: DataFrame | None = None) -> DataFrame:
         """Records and files that could not be taken in, with the reason."""
-        stored = self._stored(self.bronze_dir, "quarantined=true", hashes, BRONZE_ON_DISK)
-        return self._or_empty(stored, BRONZE_ON_DISK).select(
-            "file_hash", "raw_record", "error", "_source_file"
-        )
+        stored = self._rows(self.bronze_dir, "quarantined=true", BRONZE_ON_DISK)
+        return self._of(stored, files).select("file_hash", "raw_record", "error", "_source_file")
 
-    def bronze_facts(self, hashes: Sequence[str]) -> DataFrame:
-        return self._facts(
-            self._stored(self.bronze_dir, "quarantined=false", hashes, BRONZE_ON_DISK)
-        )
+    def bronze_facts(self, files: DataFrame) -> DataFrame:
+        return self._facts(self._stored(self.bronze_dir, "quarantined=false", BRONZE_ON_DISK), files)
 
     def write_bronze(self, rows: DataFrame) -> None:
         _replace_partitions(rows, self.bronze_dir, "quarantined", "file_hash")
 
     # ------------------------------------------------------------ Silver
 
-    def silver(self, hashes: Sequence[str] | None = None) -> DataFrame:
-        stored = self._stored(self.silver_dir, "snapshot_date=*", hashes, SILVER_ON_DISK)
-        return self._or_empty(stored, SILVER_ON_DISK)
+    def silver(self, files: DataFrame | None = None) -> DataFrame:
+        return self._of(self._rows(self.silver_dir, "snapshot_date=*", SILVER_ON_DISK), files)
 
-    def silver_facts(self, hashes: Sequence[str]) -> DataFrame:
-        return self._facts(
-            self._stored(self.silver_dir, "snapshot_date=*", hashes, SILVER_ON_DISK)
-        )
+    def silver_facts(self, files: DataFrame) -> DataFrame:
+        return self._facts(self._stored(self.silver_dir, "snapshot_date=*", SILVER_ON_DISK), files)
 
     def write_silver(self, rows: DataFrame) -> None:
         _replace_partitions(rows, self.silver_dir, "snapshot_date", "file_hash")
 
     # ------------------------------------------------------------ files
 
-    def _stored(
-        self, root: str, outer: str, hashes: Sequence[str] | None, schema: StructType
-    ) -> DataFrame | None:
-        """Rows of some files, None where no folder exists.
-
-        Only the folders of the files asked for are listed below the first level.
-        """
-        if hashes is not None and not hashes:
-            return None
-        inner = "*" if hashes is None else "{" + ",".join(hashes) + "}"
+    def _stored(self, root: str, outer: str, schema: StructType) -> DataFrame | None:
+        """All rows below the folders that fit, None where there is no such folder."""
         try:
             return (
                 self.spark.read.schema(schema)
                 .option("basePath", root)
-                .parquet(f"{root}/{outer}/file_hash={inner}")
+                .parquet(f"{root}/{outer}/file_hash=*")
             )
         except AnalysisException as missing:
             if missing.getCondition() != "PATH_NOT_FOUND":
                 raise
             return None
 
-    def _or_empty(self, stored: DataFrame | None, schema: StructType) -> DataFrame:
+    def _rows(self, root: str, outer: str, schema: StructType) -> DataFrame:
+        stored = self._stored(root, outer, schema)
         return self.spark.createDataFrame([], schema) if stored is None else stored
 
-    def _facts(self, stored: DataFrame | None) -> DataFrame:
-        """Row count and bytes on disk per file hash, from file metadata only."""
+    @staticmethod
+    def _of(rows: DataFrame, files: DataFrame | None) -> DataFrame:
+        """Rows of some files.
+
+        The condition on the hashes changes nothing, but lets Spark take the join
+        for a selective one and prune the folders of all other files at run time.
+        """
+        if files is None:
+            return rows
+        wanted = files.select("file_hash").filter("file_hash > ''")
+        return rows.join(wanted, "file_hash", "left_semi").select(*rows.columns)
+
+    def _facts(self, stored: DataFrame | None, files: DataFrame) -> DataFrame:
+        """Row count and bytes on disk of some files, from file metadata only."""
         if stored is None:
             return self.spark.createDataFrame(
                 [], "file_hash string, row_count bigint, file_size_bytes bigint"
             )
-        parts = stored.groupBy("file_hash", "_metadata.file_path", "_metadata.file_size").agg(
+        rows = stored.select("file_hash", "_metadata.file_path", "_metadata.file_size")
+        parts = self._of(rows, files).groupBy("file_hash", "file_path", "file_size").agg(
             F.count(F.lit(1)).alias("rows")
         )
         return parts.groupBy("file_hash").agg(

@@ -149,12 +149,13 @@ def silver(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- derived files
 
 
-def write_landing(rows: DataFrame, folder: str) -> int:
+def write_landing(rows: DataFrame, folder: str, split_days: bool = True) -> int:
     """Write rows as landing CSV files named after their snapshot date.
 
     Every task writes the dates it holds as files of its own, streaming through
     its rows, so nothing is gathered. ``_line_end`` in the rows, if present, is
-    appended to each line as it is. Returns the number of files.
+    appended to each line as it is. ``split_days=False`` gives one file per date.
+    Returns the number of files.
     """
     header = [name for name in rows.columns if name not in (*TIE_BREAK, "snapshot_date", "_line_end")]
 
@@ -184,7 +185,25 @@ def write_landing(rows: DataFrame, folder: str) -> int:
             stream.close()
         yield pd.DataFrame({"files": [files]})
 
-    # ranges keep a date's rows together, and split a date that owns most of them
+    # ranges keep a date's rows together, and split a date that owns most of them if allowed
     order = ("snapshot_date", *TIE_BREAK)
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    ranges = order if split_days else order[:1]
+    ordered = rows.repartitionByRange(*ranges).sortWithinPartitions(*order)
     return ordered.mapInPandas(write, "files int").agg(F.sum("files")).first()[0]
+
+
+def write_files(rows: DataFrame, folder: str) -> int:
+    """Write each row (file_name, content) as a file of its own. Returns the number of files."""
+
+    def write(batches):
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(folder)
+        system.create_dir(root, recursive=True)
+        for batch in batches:
+            for name, content in zip(batch["file_name"], batch["content"]):
+                with system.open_output_stream(f"{root}/{name}") as stream:
+                    stream.write(content.encode())
+            yield pd.DataFrame({"files": [len(batch)]})
+
+    return rows.mapInPandas(write, "files int").agg(F.sum("files")).first()[0]

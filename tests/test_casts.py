@@ -29,7 +29,9 @@ def test_long(spark):
         "12500000.0": 12500000, "1e-1": 0, ".5": 1, "5.": 5, "0.49999999999999": 0,
         "9223372036854775807": 2**63 - 1, "-9223372036854775808": -(2**63),
         "1,000": None, "": None, "abc": None, "NaN": None, "9223372036854775808": None,
-        "1e30": None, None: None,
+        "1e30": None, None: None, "1_000": 1000, "1__0": None, "0x1F": 31, "0b11": 3, "-0x1F": None,
+        "0.4999999999999999999999": 0, "-9223372036854775808.4": -(2**63), "9223372036854775807.5": None,
+        "0xffffffffffffffff": None, "0b" + "1" * 63: 2**63 - 1, "1_0e1_0": 10**11,
     })
 
 
@@ -42,7 +44,7 @@ def test_int(spark):
 def test_double(spark):
     check(spark, casts.lenient_double, {
         "1.5": 1.5, " 1.5 ": 1.5, "1e3": 1000.0, "-.5": -0.5, "1.5f": None, "1d": None,
-        "1,5": None, "": None, "n/a": None, "inf": math.inf, "-Infinity": -math.inf, None: None,
+        "1,5": None, "": None, "n/a": None, "1_000": 1000.0, "0x1F": None, "inf": math.inf, "-Infinity": -math.inf, None: None,
     })
     one = spark.range(1).select(casts.lenient_double(F.lit("nan")).alias("v")).first()["v"]
     assert math.isnan(one)
@@ -51,10 +53,15 @@ def test_double(spark):
 def test_date(spark):
     good = ["2025-03-01", "2025-3-1", "2025/03/01", "2025 03 01", " 2025-03-01 ",
             "2025-03-01 10:00:00", "March 1, 2025", "MARCH 1, 2025", " March  01,  2025 ",
-            "03-01-2025", "3-1-2025", "3/1/2025", "03/01/2025"]
+            "03-01-2025", "3-1-2025", "3/1/2025", "03/01/2025", "2025-03-01 1:30", "2025\\03\\01"]
     bad = ["2025", "2025-03", "20250301", "2025/3-1", "Mar 1, 2025", "13-01-2025",
-           "February 30, 2025", "2025-02-30", "########", "2025-03-01#", "", "unknown", None]
+           "February 30, 2025", "2025-02-30", "########", "2025-03-01#", "", "unknown", None,
+           "2025-03-01 junk", "2025-03-01 10", "2025-03-01 24:00:00"]
     check(spark, casts.lenient_date, {**dict.fromkeys(good, DAY), **dict.fromkeys(bad)})
+    check(spark, casts.lenient_date, {
+        "3-1-25": dt.date(3, 1, 25), "3-13-25": dt.date(25, 3, 13), "3/1/125": dt.date(125, 3, 1),
+        "March 1, 25": dt.date(25, 3, 1),
+    })
 
 
 def test_text_defaults(spark):

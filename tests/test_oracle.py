@@ -1,19 +1,14 @@
-"""Registered queries against their SQL twins on the smallest tables.
-
-Queries that go through storage take long and are left to
-``python tests/oracle_check.py`` (and ORACLE_ALL=1); their steps have tests of
-their own in test_pipeline.py.
-"""
-
-import os
+"""All registered queries against their SQL twins on the smallest tables."""
 
 import pytest
 
 import __spark_entry__ as entry
+from listing_lake.plans import oracles
+from listing_lake.plans import queries as registry
 from tests import oracle_check
 
 SF = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,25 +16,14 @@ def con():
     return oracle_check.duck(SF)
 
 
-STORED = {
-    "bronze_csv_roundtrip", "file_content_hash", "quarantine_split", "gold_publish_versions",
-    "gold_snapshots", "gold_rollback", "gold_mode_selection", "gold_empty_bootstrap",
-    "stream_bronze", "stream_silver", "stream_gold", "stream_late", "scd2_replay",
-}
-NAMES = [n for n in entry.queries() if os.environ.get("ORACLE_ALL") or n not in STORED]
-
-
-@pytest.mark.parametrize("name", NAMES)
+@pytest.mark.parametrize("name", registry.queries())
 def test_query(spark, con, name):
-    found = oracle_check.frame_of(entry.queries()[name](spark, SF))
-    if name in SQL:
-        assert oracle_check.compare(found, oracle_check.frame_of_sql(con, SQL[name])) == "ok"
-    else:
-        assert len(found) > 0
+    found = oracle_check.frame_of(registry.queries()[name](spark, SF))
+    assert oracle_check.compare(found, oracle_check.frame_of_sql(con, SQL[name])) == "ok"
 
 
-def test_every_sql_belongs_to_a_query():
-    assert set(SQL) <= set(entry.queries())
+def test_every_query_here_has_sql():
+    assert set(registry.queries()) == set(SQL) <= set(entry.queries())
 
 
 def test_entry(spark):

@@ -1,6 +1,7 @@
 """Runs over real folders: idempotence, quarantine, modes, versions, rollback."""
 
 import datetime as dt
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 from listing_lake import rules, schemas
 from listing_lake.operators import scd2
 from listing_lake.plans import pipeline
+from listing_lake.sources.lake import Lake
 from listing_lake.streaming import streams
 
 HEADER = ",".join(schemas.RAW_COLUMNS)
@@ -103,21 +105,31 @@ def test_bad_files_and_records(lake, now):
     }
     for _ in range(4):
         pipeline.bronze_ingest(lake, "run", now)
-    assert statuses(lake)["010", "BRONZE"][:2] == ("QUARANTINED", 3)
+    assert statuses(lake)["010", "BRONZE"][:2] == ("FAILED", 4)  # no limit unless one is set
+    aside = Lake(lake.spark, lake.root, max_retries=3)
+    pipeline.bronze_ingest(aside, "run", now)
+    pipeline.bronze_ingest(aside, "run", now)
+    assert statuses(lake)["010", "BRONZE"][:2] == ("QUARANTINED", 5)
+    spoiled = lake.lineage.read().filter("status = 'QUARANTINED'").first()["file_hash"]
+    aside.lineage.release(spoiled, now)
+    assert statuses(lake)["010", "BRONZE"][:2] == ("FAILED", 0)
+    put(lake, "bad_2025-03-01.csv", "7,too,short", "8,too,short")
+    pipeline.bronze_ingest(lake, "run", now)
+    assert statuses(lake)["bad", "BRONZE"] == ("FAILED", 0, 0)
+    told = lake.lineage.read().filter("error_message LIKE '%records rejected'").collect()
+    assert sorted(r["error_message"] for r in told) == ["1 of 2 records rejected", "2 of 2 records rejected"]
     pipeline.silver_transform(lake, "run", now)
     assert statuses(lake)["empty", "SILVER"] == ("SUCCESS", 0, 0)
     assert lake.silver().columns == [*schemas.SILVER.names, "snapshot_date", "file_hash"]
 
 
-def test_batch_limits(lake, now):
+def test_batch_limits(lake, now, monkeypatch):
     for n in range(3):
         put(lake, f"f{n}_2025-03-0{n + 1}.csv", line(n, 200000))
-    pipeline.bronze_ingest(lake, "run", now, batch_limit=2)
-    assert lake.bronze().count() == 2
-    # the Bronze limit is cut before known files are skipped
-    pipeline.bronze_ingest(lake, "run", now, batch_limit=2)
-    assert lake.bronze().count() == 2
-    pipeline.bronze_ingest(lake, "run", now)
+    for expected in (1, 2, 3, 3):
+        pipeline.bronze_ingest(lake, "run", now, batch_limit=1)
+        assert lake.bronze().count() == expected
+    assert lake.seen().count() == 3  # known files are not read again
     for expected in (1, 2, 3):
         pipeline.silver_transform(lake, "run", now, batch_limit=1)
         assert lake.silver().count() == expected
@@ -156,6 +168,86 @@ def test_a_run_that_died_before_its_lineage_is_not_repeated(lake, now):
     assert len(versions(lake)) == 1
 
 
+def test_a_lost_silver_file_stays_waiting(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    put(lake, "b_2025-03-02.csv", line(2, 300000))
+    pipeline.bronze_ingest(lake, "run", now)
+    pipeline.silver_transform(lake, "run", now)
+    lost = lake.lineage.read().filter("layer = 'SILVER' AND file_name LIKE 'b_%'").first()["file_hash"]
+    shutil.rmtree(f"{lake.silver_dir}/snapshot_date=2025-03-02/file_hash={lost}")
+    assert pipeline.gold_publish(lake, "run", now) == "bulk"
+    assert ("b", "GOLD") not in statuses(lake) and [v[0] for v in versions(lake)] == [1]
+    lake.lineage._update(lambda old: old.filter(f"file_hash <> '{lost}' OR layer <> 'SILVER'"), now)
+    run_all(lake, now)
+    assert statuses(lake)["b", "GOLD"][0] == "SUCCESS" and [v[0] for v in versions(lake)] == [1, 2]
+
+
+def test_one_bad_file_fails_alone_in_silver(lake, now, monkeypatch):
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    put(lake, "b_2025-03-02.csv", line(2, 300000))
+    pipeline.bronze_ingest(lake, "run", now)
+    real = pipeline._write_silver
+
+    def fragile(lake, files, *rest):
+        if not files.filter("file_name LIKE 'b_%'").isEmpty():
+            raise RuntimeError("unreadable")
+        real(lake, files, *rest)
+
+    monkeypatch.setattr(pipeline, "_write_silver", fragile)
+    pipeline.silver_transform(lake, "run", now)
+    assert statuses(lake)["a", "SILVER"] == ("SUCCESS", 0, 1)
+    assert statuses(lake)["b", "SILVER"] == ("FAILED", 0, None)
+    monkeypatch.undo()
+    pipeline.silver_transform(lake, "run", now)
+    assert statuses(lake)["b", "SILVER"][0] == "SUCCESS"
+
+
+def test_a_rebuild_without_all_silver_is_refused(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    put(lake, "b_2025-03-05.csv", line(1, 250000))
+    run_all(lake, now)
+    before = versions(lake)
+    shutil.rmtree(f"{lake.silver_dir}/snapshot_date=2025-03-01")
+    put(lake, "c_2025-03-03.csv", line(1, 220000))
+    with pytest.raises(ValueError, match="Silver lacks"):
+        run_all(lake, now, late="rebuild")
+    assert versions(lake) == before and statuses(lake)["c", "GOLD"][0] == "FAILED"
+
+
+def test_files_are_merged_by_date_then_name(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 100000))
+    run_all(lake, now)
+    put(lake, "z_2025-03-02.csv", line(1, 200000))
+    put(lake, "b_2025-03-03.csv", line(1, 300000))
+    run_all(lake, now)
+    assert [v[1:3] for v in versions(lake)] == [(100000, day(1)), (200000, day(2)), (300000, day(3))]
+
+
+def test_a_rolled_back_stream_loads_again(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000), "7,too,short")
+    for _ in range(2):
+        streams.stream_bronze(lake, "run", now)
+        streams.stream_silver(lake, "run", now)
+        streams.stream_gold(lake, lake.silver_dir, now)
+        assert lake.bronze().count() == lake.silver().count() == 1
+        assert versions(lake) == [(1, 200000, day(1), None, True)]
+        assert statuses(lake)["a", "SILVER"] == ("SUCCESS", 0, 1)
+        for layer in (rules.GOLD, rules.SILVER, rules.BRONZE):
+            pipeline.rollback_layer(lake, layer, now)
+
+
+def test_streamed_late_file_rebuilds_without_loss(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000), line(2, 5))
+    put(lake, "b_2025-03-05.csv", line(1, 250000))
+    for name in (None, "c_2025-03-03.csv"):
+        if name:
+            put(lake, name, line(1, 220000))
+        streams.stream_bronze(lake, "run", now)
+        streams.stream_silver(lake, "run", now)
+        streams.stream_gold(lake, lake.silver_dir, now, late="rebuild")
+    assert [v[:2] for v in versions(lake)] == [(1, 200000), (1, 220000), (1, 250000), (2, 5)]
+
+
 def test_a_failed_merge_is_recorded(lake, now, monkeypatch):
     put(lake, "a_2025-03-01.csv", line(1, 200000))
     run_all(lake, now)

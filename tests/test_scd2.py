@@ -78,8 +78,8 @@ def messy_batch(rng, ids, size):
 
 
 def test_merge_against_nested_loops(spark, monkeypatch):
-    # a small portion size sends hot ids through the spread-out branch too
-    monkeypatch.setattr(scd2, "COPIES_PER_TASK", 3)
+    # a small portion size unfolds hot ids in several portions
+    monkeypatch.setattr(scd2, "PORTION", 3)
     rng = random.Random(7)
     gold = []
     for step in range(3):
@@ -88,7 +88,7 @@ def test_merge_against_nested_loops(spark, monkeypatch):
         batch = messy_batch(rng, 6, 20) + [(0, 10 * rng.randint(1, 9)) for _ in range(10)]
         incoming = spark.createDataFrame([(*r, True, day, None) for r in batch], ROW)
         before = spark.createDataFrame(gold, ROW)
-        merged = scd2.merge(before, incoming, F.lit(day), LOAD)
+        merged = scd2.merge(before, incoming, F.lit(day), LOAD, copies="per_match")
         gold = brute_merge(gold, batch, day)
         assert Counter(tuple(r) for r in merged.collect()) == Counter(gold)
         if step == 1:
