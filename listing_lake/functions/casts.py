@@ -19,7 +19,7 @@ NUMBER = rf"^\s*[+-]?({DIGITS}\.?({DIGITS})?|\.{DIGITS})([eE][+-]?{DIGITS})?\s*$
 HEXADECIMAL = r"^\s*0[xX]0*[0-9a-fA-F]{1,16}\s*$"
 BINARY = r"^\s*0[bB]0*[01]{1,64}\s*$"
 SPECIAL_DOUBLE = r"(?i)^\s*([+-]?inf(inity)?|nan)\s*$"
-TIME = r"[ T]([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]+)?)?( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?"
+TIME = r"[ T](([01]?[0-9]|2[0-3]):[0-5]?[0-9](:[0-5]?[0-9](\.[0-9]+)?)?|24:00(:00(\.0+)?)?)( ?(Z|UTC|[+-][0-9]{2}(:?[0-9]{2})?))?"
 ISO_DATE = rf"^[0-9]+([-/ \\])[0-9]{{1,2}}\1[0-9]{{1,2}}({TIME})?$"
 ISO_DATE_PARTS = r"^([0-9]+)[-/ \\]([0-9]{1,2})[-/ \\]([0-9]{1,2})"
 MONTH_NAME_DATE = r"^[A-Za-z]+ +[0-9]{1,2}, +[0-9]{1,4}$"

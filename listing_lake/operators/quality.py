@@ -83,6 +83,11 @@ def anomaly_counts(gold: DataFrame) -> DataFrame:
     return gold.groupBy("table_name").agg(F.count_if("is_anomaly").alias("anomalies"))
 
 
+def _by_table(gold: DataFrame, *keys: str) -> list[str]:
+    """The keys, within a table where the rows say which; an id may be in both tables."""
+    return [*[c for c in ("table_name",) if c in gold.columns], *keys]
+
+
 def plot_count(gold: DataFrame) -> DataFrame:
     return gold.filter(
         (F.col("property_category") == rules.PLOT_CATEGORY) & (F.col("bedrooms") == 0)
@@ -93,7 +98,7 @@ def duplicate_active(gold: DataFrame) -> DataFrame:
     """Ids with more than one open version."""
     return (
         gold.filter("is_current")
-        .groupBy("property_id")
+        .groupBy(*_by_table(gold, "property_id"))
         .agg(F.count(F.lit(1)).alias("cnt"))
         .filter("cnt > 1")
     )
@@ -106,7 +111,7 @@ def date_type_check(gold: DataFrame, column: str = "date_added") -> DataFrame:
 
 
 def changed_properties(gold: DataFrame) -> DataFrame:
-    return gold.filter("NOT is_current").agg(
+    return gold.filter("NOT is_current").groupBy(*_by_table(gold)).agg(
         F.count(F.lit(1)).alias("expired_versions"),
         F.countDistinct("property_id").alias("properties_with_history"),
     )
@@ -114,7 +119,7 @@ def changed_properties(gold: DataFrame) -> DataFrame:
 
 def city_distribution(gold: DataFrame) -> DataFrame:
     return (
-        gold.groupBy("city")
+        gold.groupBy(*_by_table(gold, "city"))
         .agg(
             F.count(F.lit(1)).alias("total_rows"),
             F.sum(F.when(F.col("is_current"), 1).otherwise(0)).alias("active_rows"),
@@ -124,16 +129,17 @@ def city_distribution(gold: DataFrame) -> DataFrame:
 
 
 def versions_per_property(gold: DataFrame) -> DataFrame:
-    return gold.groupBy("property_id").agg(F.count(F.lit(1)).alias("changes"))
+    return gold.groupBy(*_by_table(gold, "property_id")).agg(F.count(F.lit(1)).alias("changes"))
 
 
 def history_export(gold: DataFrame) -> DataFrame:
     """All versions of ids that have several, ordered for reading."""
-    several = versions_per_property(gold).filter("changes > 1").select("property_id")
+    ids = _by_table(gold, "property_id")
+    several = versions_per_property(gold).filter("changes > 1").select(*ids)
     return (
-        gold.select(*HISTORY_COLUMNS)
-        .join(several, "property_id", "left_semi")
-        .orderBy("city", "property_id", "valid_from")
+        gold.select(*dict.fromkeys([*_by_table(gold), *HISTORY_COLUMNS]))
+        .join(several, ids, "left_semi")
+        .orderBy(*_by_table(gold, "city"), "property_id", "valid_from")
     )
 
 
@@ -146,18 +152,22 @@ def top_changed(gold: DataFrame, top: int = 2) -> DataFrame:
 def top_changed_history(gold: DataFrame, top: int = 2) -> DataFrame:
     """Histories of the most-changed ids; ``top`` bounds the broadcast side."""
     return (
-        gold.select("property_id", "valid_from", "valid_to", "is_current", "price", "city", "location")
-        .join(F.broadcast(top_changed(gold, top)), "property_id")
+        gold.select(
+            *_by_table(gold, "property_id"), "valid_from", "valid_to", "is_current", "price", "city", "location"
+        )
+        .join(F.broadcast(top_changed(gold, top)), _by_table(gold, "property_id"))
         .orderBy(F.desc("changes"), "property_id", "valid_from")
     )
 
 
 def sample_timeline(gold: DataFrame) -> DataFrame:
-    """History of the smallest id that has several versions."""
-    one = versions_per_property(gold).filter("changes > 1").agg(F.min("property_id").alias("property_id"))
+    """History of the smallest id (of each table) that has several versions."""
+    several = versions_per_property(gold).filter("changes > 1")
+    one = several.groupBy(*_by_table(gold)).agg(F.min("property_id").alias("property_id"))
+    ids = _by_table(gold, "property_id")
     return (
-        gold.select("property_id", "price", "is_current", "valid_from", "valid_to")
-        .join(F.broadcast(one), "property_id", "left_semi")
+        gold.select(*ids, "price", "is_current", "valid_from", "valid_to")
+        .join(F.broadcast(one), ids, "left_semi")
         .orderBy("valid_from")
     )
 

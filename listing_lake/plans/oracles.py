@@ -234,8 +234,8 @@ dates AS (
       WHEN 11 THEN strftime(l_shipdate, '%Y-%m')
       WHEN 12 THEN strftime(l_shipdate, '%Y-%m-%d junk')
       WHEN 13 THEN strftime(l_shipdate, '%Y-%m-%d 10')
-      WHEN 14 THEN strftime(l_shipdate, '%-m-%-d-%y')
-      WHEN 15 THEN strftime(l_shipdate, '%-m/%-d/%y')
+      WHEN 14 THEN strftime(l_shipdate, '%-m-%-d-9%y')
+      WHEN 15 THEN strftime(l_shipdate, '%-m/%-d/1') || right(strftime(l_shipdate, '%Y'), 1)
       WHEN 16 THEN strftime(l_shipdate, '%Y-%m-%d 1:30:00.5')
       ELSE strftime(l_shipdate, '%Y-%m-%d 24:00:00') END AS text
   FROM lineitem
@@ -339,9 +339,9 @@ def oracle_sql() -> dict[str, str]:
         "parse_dates": _with(
             DATES,
             select="""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, text,
-  CASE WHEN text NOT LIKE '%#%' THEN COALESCE(TRY_CAST(text AS DATE),
+  CAST(CASE WHEN text NOT LIKE '%#%' THEN COALESCE(TRY_CAST(text AS DATE),
     CAST(try_strptime(text, '%B %d, %Y') AS DATE), CAST(try_strptime(text, '%m-%d-%Y') AS DATE),
-    CAST(try_strptime(text, '%m/%d/%Y') AS DATE)) END AS value FROM dates""",
+    CAST(try_strptime(text, '%m/%d/%Y') AS DATE)) END AS VARCHAR) AS value FROM dates""",
         ),
         "text_defaults": _with(SILVER, select=f"SELECT {_KEYED}, agency, agent FROM silver"),
         "area_to_marla": _with(SILVER, select=f"SELECT {_KEYED}, area_marla FROM silver"),

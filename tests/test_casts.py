@@ -53,10 +53,10 @@ def test_double(spark):
 def test_date(spark):
     good = ["2025-03-01", "2025-3-1", "2025/03/01", "2025 03 01", " 2025-03-01 ",
             "2025-03-01 10:00:00", "March 1, 2025", "MARCH 1, 2025", " March  01,  2025 ",
-            "03-01-2025", "3-1-2025", "3/1/2025", "03/01/2025", "2025-03-01 1:30", "2025\\03\\01"]
+            "03-01-2025", "3-1-2025", "3/1/2025", "03/01/2025", "2025-03-01 1:30", "2025-03-01 24:00:00", "2025\\03\\01"]
     bad = ["2025", "2025-03", "20250301", "2025/3-1", "Mar 1, 2025", "13-01-2025",
            "February 30, 2025", "2025-02-30", "########", "2025-03-01#", "", "unknown", None,
-           "2025-03-01 junk", "2025-03-01 10", "2025-03-01 24:00:00"]
+           "2025-03-01 junk", "2025-03-01 10", "2025-03-01 24:00:01"]
     check(spark, casts.lenient_date, {**dict.fromkeys(good, DAY), **dict.fromkeys(bad)})
     check(spark, casts.lenient_date, {
         "3-1-25": dt.date(3, 1, 25), "3-13-25": dt.date(25, 3, 13), "3/1/125": dt.date(125, 3, 1),
