@@ -52,7 +52,7 @@ def _templates(tokens: Column, n: Column) -> Column:
 
 
 def templates(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, line, template) for each line and template of docs (doc_id, text).
+    """(doc_id, version, line, templates) for each line of docs (doc_id, text) that has any.
 
     version is a hash of the text; rows that share an id may differ in it.
     """
@@ -61,15 +61,13 @@ def templates(docs: DataFrame) -> DataFrame:
     )
     tokens = lines.select("doc_id", "version", "line", tokens_of(F.col("said")).alias("tokens"))
     sized = tokens.select("*", F.size("tokens").alias("n")).filter(F.col("n") >= SHORTEST)
-    return sized.select(
-        "doc_id", "version", "line", F.explode(_templates(F.col("tokens"), F.col("n"))).alias("template")
-    )
+    return sized.select("doc_id", "version", "line", _templates(F.col("tokens"), F.col("n")).alias("templates"))
 
 
-def recurring(docs: DataFrame) -> DataFrame:
-    """(template, first_doc) of every template that lines of different documents have."""
+def recurring(lines: DataFrame) -> DataFrame:
+    """(shared, first_doc) of every template that lines of different documents have."""
     return (
-        templates(docs)
+        lines.select("doc_id", F.explode("templates").alias("template"))
         .groupBy("template")
         .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         .filter("first_doc != last_doc")
@@ -90,26 +88,28 @@ def _without(lines: Column, dropped: Column) -> Column:
 def drop_recurring(docs: DataFrame) -> DataFrame:
     """docs with text reduced, and n_lines and n_dropped added."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shared = stored(recurring(slim))
+    hashed = stored(templates(slim))
+    shared = stored(recurring(hashed))
     dropped = (
-        templates(slim)
+        hashed.select("doc_id", "version", "line", F.explode("templates").alias("template"))
         .join(shared, F.col("template") == F.col("shared"))
         .filter("doc_id > first_doc")
         .groupBy(F.col("doc_id").alias("of_doc"), F.col("version").alias("of_version"))
         .agg(F.sort_array(F.collect_set("line")).alias("dropped_lines"))
     )
-    same = (docs["doc_id"].cast("long") == F.col("of_doc")) & (
-        F.xxhash64(docs["text"].cast("string")) == F.col("of_version")
+    same = (docs["doc_id"].cast("long") == dropped["of_doc"]) & (
+        F.xxhash64(docs["text"].cast("string")) == dropped["of_version"]
     )
+    numbers = dropped["dropped_lines"]
     text = docs["text"].cast("string")
     lines = F.split(text, "\n")
     columns = [docs[c] for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
     found = docs.join(dropped, same, "left")
     return found.select(
         *columns,
-        F.when(F.col("dropped_lines").isNull(), text).otherwise(_without(lines, F.col("dropped_lines"))).alias("text"),
+        F.when(numbers.isNull(), text).otherwise(_without(lines, numbers)).alias("text"),
         F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size("dropped_lines"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
