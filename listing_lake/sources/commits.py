@@ -20,3 +20,9 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 def append(df: DataFrame, path: str) -> None:
     """One commit is one file, so it appears whole or not at all."""
     df.coalesce(1).write.mode("append").parquet(path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder, wherever Hadoop finds it; one that is not there is no error."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

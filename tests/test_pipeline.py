@@ -248,6 +248,27 @@ def test_streamed_late_file_rebuilds_without_loss(lake, now):
     assert [v[:2] for v in versions(lake)] == [(1, 200000), (1, 220000), (1, 250000), (2, 5)]
 
 
+def test_compaction_expiry_and_conflicts(lake, now, monkeypatch):
+    for n in (1, 2, 3):
+        put(lake, f"f_2025-03-0{n}.csv", line(1, 100000 * n))
+        run_all(lake, now)
+    before = versions(lake)
+    assert len(lake.gold.latest()["gold_sales"]["closed_versions"]) == 3
+    version = lake.gold.compact(now)
+    assert lake.gold.latest()["gold_sales"]["closed_versions"] == [version]
+    assert versions(lake) == before
+    assert lake.gold.expire(keep=1) == [1, 2, 3]
+    assert versions(lake) == before and run_all(lake, now) is None
+    lake.lineage.expire(keep=1)
+    assert len(statuses(lake)) > 0
+    put(lake, "f_2025-03-04.csv", line(1, 900000))
+    assert run_all(lake, now) == "merge" and versions(lake)[-1][1] == 900000
+    newest = lake.gold.latest()
+    monkeypatch.setattr(lake.gold, "latest", lambda version=None: {t: {**r.asDict(), "version": r["version"] - 1} for t, r in newest.items()})
+    with pytest.raises(RuntimeError, match="another writer"):
+        lake.gold.reset(now)
+
+
 def test_a_failed_merge_is_recorded(lake, now, monkeypatch):
     put(lake, "a_2025-03-01.csv", line(1, 200000))
     run_all(lake, now)
