@@ -124,7 +124,7 @@ def test_names(spark):
     check(spark, naming.is_landing_name, {"a_1.csv": True, "010.jpg.csv": False, "a.csv.gz": False})
     check(spark, lambda n: naming.silver_name(naming.bronze_name(n)), {"a.csv": "a_clean.parquet"})
     check(spark, naming.unique_bronze_name, {
-        ("property_1.csv", "0123456789ab"): "property_1_01234567.parquet",
-        ("010.jpg.csv", "0123456789ab"): "010.jpg_01234567.parquet",
+        ("property_1.csv", "0123456789ab"): "property_1_0123456789ab.parquet",
+        ("010.jpg.csv", "0123456789ab"): "010.jpg_0123456789ab.parquet",
     }, ("name", "hash"))
     check(spark, lambda c: F.length(naming.error_text(c)), {"e" * 900: 500, "short": 5})

@@ -93,7 +93,7 @@ def test_selection(spark):
 
 def test_files_out_of_retries_are_set_aside(spark):
     records = [outcome("a", "FAILED", i) for i in range(4)] + [outcome("b", "FAILED", 9)]
-    status = {r["file_hash"]: r["status"] for r in ops.set_aside(apply(spark, empty(spark), records)).collect()}
+    status = {r["file_hash"]: r["status"] for r in ops.set_aside(apply(spark, empty(spark), records), 3).collect()}
     assert status == {"a": "QUARANTINED", "b": "FAILED"}
 
 
@@ -106,3 +106,16 @@ def test_stored_table(spark, tmp_path, now):
     assert [r["layer"] for r in table.read().collect()] == ["BRONZE"]
     table.truncate(now)
     assert table.read().isEmpty() and table.version() == 3
+
+
+def test_no_limit_on_retries_and_release(spark):
+    records = [outcome("a", "FAILED", i) for i in range(9)]
+    table = apply(spark, empty(spark), records)
+    assert ops.set_aside(table, None).first()["status"] == "FAILED"
+    aside = ops.set_aside(table, 3)
+    assert aside.first()["status"] == "QUARANTINED"
+    at = F.lit("2025-06-02 00:00:00").cast("timestamp")
+    for name, expected in (("other", ("QUARANTINED", 8)), ("a", ("FAILED", 0))):
+        row = ops.release(aside, name, at).first()
+        assert (row["status"], row["retry_count"]) == expected
+    assert ops.release(aside, "a", at).schema == aside.schema

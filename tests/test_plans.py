@@ -4,8 +4,10 @@ import re
 
 from pyspark.sql import functions as F
 
+from listing_lake import schemas
 from listing_lake.operators import scd2
 from listing_lake.plans import queries
+from listing_lake.session import stored
 from listing_lake.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
@@ -59,3 +61,27 @@ def test_merge_has_no_nested_loop_and_broadcasts_by_size_only(spark, tmp_path):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "NestedLoop" not in text and "Cartesian" not in text and "Broadcast" not in text
+
+
+def test_a_merge_reads_wide_open_rows_once(spark, tmp_path):
+    silver = td.silver(spark, SF)
+    scd2.bulk_history(silver, td.LOADED_AT, tie_break=td.TIE_BREAK).write.parquet(str(tmp_path / "g"))
+    gold = spark.read.parquet(str(tmp_path / "g"))
+    incoming = scd2.incoming_versions(silver, F.lit("2002-01-01"), td.LOADED_AT)
+    for copies in (scd2.ONCE, scd2.PER_MATCH):
+        merged = scd2.merge_open(
+            scd2.current_rows(gold), incoming, F.lit("2002-01-01"), td.LOADED_AT, queries.BOTH_IDS, copies=copies
+        )
+        read = re.findall(r"/g\][^\n]*ReadSchema: struct<([^>]*)>", plan(merged))
+        assert sum("page_url" in columns for columns in read) == 1 and len(read) <= 4
+
+
+def test_files_of_a_step_prune_folders_without_a_list(spark, lake):
+    rows = td.bronze(spark, SF).select(*schemas.BRONZE.names).withColumns(
+        {"quarantined": F.lit(False), "file_hash": F.sha2("_source_file", 256)}
+    )
+    lake.write_bronze(rows)
+    wanted = stored(rows.select("file_hash").distinct().limit(1))
+    chosen = lake.bronze(wanted)
+    assert "dynamicpruning" in plan(chosen)
+    assert chosen.select("_source_file").distinct().count() == 1
