@@ -147,7 +147,7 @@ class Search:
         """(query id, vector id, score) of at most k for each query."""
         row, place = np.nonzero(np.isfinite(self.best))
         who = self.who[row, place]
-        exact = (self.points[row] * self.tree.vectors[who]).sum(axis=1)
+        exact = (self.points[row, :-1] * self.tree.vectors[who, :-1]).sum(axis=1)
         order = np.lexsort((self.tree.ids[who], -exact, row))
         row, who, exact = row[order], who[order], exact[order]
         nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
