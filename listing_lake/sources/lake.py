@@ -92,6 +92,23 @@ class Lake:
         stored = self._rows(self.bronze_dir, "quarantined=false", BRONZE_ON_DISK)
         return self._of(stored, files).select(*schemas.BRONZE.names, "file_hash")
 
+    def bronze_as_landed(self, files: DataFrame | None = None) -> DataFrame:
+        """Clean raw rows with every column that some file had beyond those of the feed.
+
+        Reads the footers of all Bronze files to find them.
+        """
+        try:
+            stored = (
+                self.spark.read.option("basePath", self.bronze_dir)
+                .option("mergeSchema", True)
+                .parquet(f"{self.bronze_dir}/quarantined=false/file_hash=*")
+            )
+        except AnalysisException as missing:
+            if missing.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.bronze(files)
+        return self._of(stored, files).drop("raw_record", "error", "quarantined")
+
     def quarantine(self, files: DataFrame | None = None) -> DataFrame:
         """Records and files that could not be taken in, with the reason."""
         stored = self._rows(self.bronze_dir, "quarantined=true", BRONZE_ON_DISK)

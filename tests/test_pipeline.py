@@ -123,6 +123,15 @@ def test_bad_files_and_records(lake, now):
     assert lake.silver().columns == [*schemas.SILVER.names, "snapshot_date", "file_hash"]
 
 
+def test_extra_columns_stay_readable(lake, now):
+    assert lake.bronze_as_landed().columns == lake.bronze().columns
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    put(lake, "b_2025-03-02.csv", line(2, 300000) + ",north", header=HEADER + ",wing")
+    pipeline.bronze_ingest(lake, "run", now)
+    found = {r["property_id"]: r["wing"] for r in lake.bronze_as_landed().collect()}
+    assert found == {"1": None, "2": "north"} and "wing" not in lake.bronze().columns
+
+
 def test_batch_limits(lake, now, monkeypatch):
     for n in range(3):
         put(lake, f"f{n}_2025-03-0{n + 1}.csv", line(n, 200000))
