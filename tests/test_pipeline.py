@@ -263,8 +263,8 @@ def test_compaction_expiry_and_conflicts(lake, now, monkeypatch):
         run_all(lake, now)
     before = versions(lake)
     assert len(lake.gold.latest()["gold_sales"]["closed_versions"]) == 3
-    version = lake.gold.compact(now)
-    assert lake.gold.latest()["gold_sales"]["closed_versions"] == [version]
+    lake.gold.compact(now)
+    assert len(lake.gold.latest()["gold_sales"]["closed_versions"]) == 1
     assert versions(lake) == before
     assert lake.gold.expire(keep=1) == [1, 2, 3]
     assert versions(lake) == before and run_all(lake, now) is None
