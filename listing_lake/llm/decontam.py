@@ -1,22 +1,18 @@
-"""Benchmark passages in documents, found by CGK embedding and bit-sampling LSH.
-
-Texts are sequences of lower-cased words. A window of w words is embedded by the
-CGK random walk: at step j the walk emits the word it stands on and moves on if
-random bit j of that word is set, so that after an insertion or a deletion two
-walks soon step in time again, and edit distance becomes Hamming distance. A
-repetition samples a few positions of the walk; two windows that agree in all of
-them are candidates. Each repetition has its own random bits and positions.
-
-Windows are sized to the items: an item of n words uses the largest w = 2^k
-with w + w / 2 - 1 <= n. Documents have a window at every multiple of w / 2 words
-and items at every offset below that, so a passage always has a document window
-that is aligned with one of its item's: an unchanged passage is certain to be
-found, in each repetition. ``repetitions_for`` gives the number of repetitions
-that finds an edited window with a wished probability.
-
-Every candidate is verified: the word edit distance of the whole item to the best
-place in the document around the window, by dynamic programming. It counts if
-it is at most ``DISTANCE`` of the item's words.
+"""Benchmark passages in documents, found by the pieces that edits leave whole.
+
+Texts are sequences of lower-cased words. An item of n words counts as found if
+d = floor(``DISTANCE`` * n) word edits or fewer turn it into some part of a
+document. The item is cut into d + 1 pieces from end to end, of lengths that
+differ by one word at most. d edits touch d pieces at most, so one piece at least
+stands unchanged in the document, d words at most away from its own place: a
+look-up of every piece at every word of the documents proposes every pair that
+the verifier accepts, wherever its edits are. Nothing is left to chance.
+
+A proposed place is kept if at least n - d of the words around it are words of the
+item, which holds at every place that the verifier accepts. Then places of one item in one
+document that overlap are put together and verified: the word edit distance of the
+whole item to the best place there, by dynamic programming. As no place is missed,
+the distance is the smallest in the whole document.
 
 The benchmark is held against the documents in blocks of a fixed number of
 characters; only one block at a time is sent to the tasks. Null and empty texts
@@ -29,7 +25,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from collections import defaultdict
 from collections.abc import Iterator
 from math import ceil, log
 
@@ -41,17 +36,16 @@ from pyspark.sql import functions as F
 from listing_lake.llm.common import slices
 
 DISTANCE = 0.2
-REPETITIONS = 12
-SAMPLES = 5
 #: Characters of benchmark text that tasks hold at a time.
 BLOCK = 8_000_000
-SMALLEST, LARGEST = 4, 32
 REMEMBERED = 500_000
 #: Words of documents that one numpy step covers.
 STEP = 1 << 20
+#: Proposed places, and words around them, that one numpy step covers.
+PLACES, AROUND = 1 << 18, 1 << 21
 
 _WORD = re.compile(r"\w+")
-_FOLD = 16  # bits of a key that the filters between samples look at
+_FOLD = 22  # bits of a key that the filters look at
 
 
 def repetitions_for(recall: float, one: float) -> int:
@@ -63,14 +57,10 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def sizes_of(n: int) -> tuple[int, int]:
-    """Window length and stride for an item of n words."""
-    if n <= SMALLEST:
-        return n, 1
-    w = LARGEST
-    while w > SMALLEST and w + w // 2 - 1 > n:
-        w //= 2
-    return w, max(1, min(w // 2, n - w + 1))
+def pieces_of(n: int, distance: float = DISTANCE) -> np.ndarray:
+    """Where the pieces of an item of n words begin, and n."""
+    count = int(distance * n) + 1
+    return np.arange(count + 1) * n // count
 
 
 class _Codes(dict):
@@ -83,101 +73,100 @@ class _Codes(dict):
         return code
 
 
-def _mixed(codes: np.ndarray, repetition: int) -> np.ndarray:
-    """64 random bits of each word, others in each repetition."""
+def _joined(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = codes.astype(np.uint64) + np.uint64((repetition + 1) * 0x9E3779B97F4A7C15 % 2**64)
-        x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
-        x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
-        return x ^ x >> np.uint64(31)
-
-
-def _sampled(w: int, repetition: int) -> list[int]:
-    """The sampled positions of the walk over w words, in order."""
-    steps = max(1, 3 * w // 2)
-    chosen = np.random.default_rng([w, repetition]).permutation(steps)[: min(SAMPLES, steps)]
-    return sorted(map(int, chosen))
-
-
-def _walk(codes, bits, starts, w, repetition, filters=None, prefixes=None) -> tuple[np.ndarray, np.ndarray]:
-    """(starts, keys) of the windows; with filters, of those that can still match an item.
-
-    prefixes, a list, gets the keys after each sample.
-    """
-    at, last = starts, starts + (w - 1)
-    keys = np.full(len(starts), w, np.uint64)
-    samples = _sampled(w, repetition)
-    for step in range(samples[-1] + 1):
-        if step in samples:
-            with np.errstate(over="ignore"):
-                keys = (keys ^ codes[at]) * np.uint64(0x9E3779B97F4A7C15)
-            keys ^= keys >> np.uint64(32)
-            if prefixes is not None:
-                prefixes.append(keys.copy())
-            if filters is not None:
-                live = filters[samples.index(step)][keys & np.uint64((1 << _FOLD) - 1)]
-                starts, at, last, keys = starts[live], at[live], last[live], keys[live]
-                if not len(starts):
-                    break
-        at = np.minimum(at + (bits[at] >> np.uint64(step) & np.uint64(1)).astype(np.int64), last)
-    return starts, keys
+        keys = (keys ^ more) * np.uint64(0x9E3779B97F4A7C15)
+    return keys ^ keys >> np.uint64(32)
+
+
+def _keys(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
+    """One key for the words of each piece."""
+    keys = np.full(len(starts), size, np.uint64)
+    for step in range(size):
+        keys = _joined(keys, codes[starts + step])
+    return keys
+
+
+def _filter(keys: np.ndarray) -> np.ndarray:
+    seen = np.zeros(1 << _FOLD, bool)
+    seen[keys & np.uint64((1 << _FOLD) - 1)] = True
+    return seen
+
+
+def _passes(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    return seen[keys & np.uint64((1 << _FOLD) - 1)]
+
+
+def _runs(counts: np.ndarray) -> np.ndarray:
+    """0, 1, .. count - 1 for each count, one after the other."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
 class Index:
-    """The windows of a block of items, for each size and repetition."""
+    """The pieces of a block of items, by their number of words."""
 
-    def __init__(self, items: list[tuple[int, list[str]]], repetitions: int = REPETITIONS):
+    def __init__(self, items: list[tuple[int, list[str]]], distance: float = DISTANCE):
         known = _Codes()
         self.items = [(i, np.fromiter(map(known.__getitem__, w), np.int64, len(w))) for i, w in items if w]
-        self.repetitions = repetitions
-        by_size: dict[tuple[int, int], list[tuple[int, int]]] = defaultdict(list)
-        self.windows: dict[int, list[tuple]] = defaultdict(list)
-        strides: dict[int, int] = {}
-        for number, (_, codes) in enumerate(self.items):
-            w, stride = sizes_of(len(codes))
-            strides[w] = min(stride, strides.get(w, stride))
-            by_size[w].append(number)
-        self.strides = strides
-        for w, numbers in by_size.items():
-            parts = [self.items[n][1] for n in numbers]
-            flat = np.concatenate(parts).astype(np.uint64)
-            first = np.cumsum([0, *map(len, parts)])[:-1]
-            owner = np.repeat(numbers, strides[w])
-            offset = np.tile(np.arange(strides[w]), len(numbers))
-            starts = np.repeat(first, strides[w]) + offset
-            for repetition in range(repetitions):
-                bits = _mixed(flat, repetition)
-                prefixes: list[np.ndarray] = []
-                _, keys = _walk(flat, bits, starts, w, repetition, prefixes=prefixes)
-                filters = []
-                for partial in prefixes:
-                    seen = np.zeros(1 << _FOLD, bool)
-                    seen[partial & np.uint64((1 << _FOLD) - 1)] = True
-                    filters.append(seen)
-                order = np.argsort(keys, kind="stable")
-                self.windows[w].append((filters, keys[order], owner[order], offset[order]))
-
-    def candidates(self, codes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int]]:
-        """(document, item, place of the item's first word) for texts put one after the other."""
+        self.distance = distance
+        self.lengths = np.array([len(c) for _, c in self.items], np.int64)
+        self.slacks = np.array([int(distance * n) for n in self.lengths], np.int64)
+        self.pieces: dict[int, tuple] = {}
+        if not self.items:
+            return
+        flat = np.concatenate([c for _, c in self.items]).astype(np.uint64)
+        first = np.cumsum(self.lengths) - self.lengths
+        owner = np.repeat(np.arange(len(self.items)), self.slacks + 1)
+        cuts = [pieces_of(n, distance) for n in self.lengths.tolist()]
+        offset = np.concatenate([c[:-1] for c in cuts])
+        length = np.concatenate([np.diff(c) for c in cuts])
+        for size in np.unique(length).tolist():
+            own, place = owner[length == size], offset[length == size]
+            keys = _keys(flat, first[own] + place, size)
+            order = np.argsort(keys, kind="stable")
+            self.pieces[size] = _filter(keys), keys[order], own[order], place[order]
+        self.held = _filter(_joined(flat, np.repeat(np.arange(len(self.items)), self.lengths).astype(np.uint64)))
+
+    def near(self, codes: np.ndarray, begins, ends, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
+        """Which places have enough words of the item around them."""
+        slack = self.slacks[numbers]
+        low = np.maximum(begins, places - slack)
+        counts = np.minimum(ends, places + self.lengths[numbers] + slack) - low
+        kept = np.zeros(len(places), bool)
+        steps = np.searchsorted(np.cumsum(counts), np.arange(0, counts.sum(), AROUND), "right")
+        cuts = np.unique(np.append(steps, len(places)))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            size = counts[a:b]
+            words = codes[np.repeat(low[a:b], size) + _runs(size)]
+            held = _passes(self.held, _joined(words, np.repeat(numbers[a:b], size).astype(np.uint64)))
+            found = np.add.reduceat(held, np.cumsum(size) - size, dtype=np.int64)
+            kept[a:b] = found >= self.lengths[numbers[a:b]] - slack[a:b]
+        return kept
+
+    def candidates(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Columns document, item, place of the item's first word, in order, for texts put one after the other."""
         begins = np.concatenate([[0], ends[:-1]])
-        starts = {}
-        for w, stride in self.strides.items():
-            counts = np.maximum(0, (ends - begins - w) // stride + 1)
-            index = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-            starts[w] = np.repeat(begins, counts) + index * stride
-        for repetition in range(self.repetitions):
-            bits = _mixed(codes, repetition)
-            for w in self.strides:
-                filters, keys, owner, offset = self.windows[w][repetition]
-                found, own = _walk(codes, bits, starts[w], w, repetition, filters)
-                low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
-                for hit in np.flatnonzero(high > low):
-                    for at in range(low[hit], high[hit]):
-                        yield (
-                            int(np.searchsorted(ends, found[hit], "right")),
-                            int(owner[at]),
-                            int(found[hit] - offset[at]),
-                        )
+        rows = [np.empty((3, 0), np.int64)]
+        for size, (seen, keys, owner, offset) in self.pieces.items():
+            starts = np.arange(len(codes) - size + 1)
+            own = _keys(codes, starts, size)
+            starts = starts[_passes(seen, own)]
+            own = own[starts]
+            low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            docs = np.searchsorted(ends, starts, "right")
+            hit = (high > low) & (starts + size <= ends[docs])
+            starts, docs, low, counts = starts[hit], docs[hit], low[hit], (high - low)[hit]
+            # an entry of the index that meets very many words is dealt out as well
+            total = int(counts.sum())
+            upto = np.cumsum(counts)
+            for a in range(0, total, PLACES):
+                nth = np.arange(a, min(total, a + PLACES))
+                at = np.searchsorted(upto, nth, "right")
+                entry = low[at] + nth - (upto[at] - counts[at])
+                found = np.unique(np.stack([docs[at], owner[entry], starts[at] - offset[entry]]), axis=1)
+                near = self.near(codes, begins[found[0]], ends[found[0]], found[1], found[2])
+                rows.append(found[:, near])
+        return np.unique(np.concatenate(rows, axis=1), axis=1)
 
 
 def edit_distance(item: np.ndarray, text: np.ndarray) -> int:
@@ -194,19 +183,29 @@ def edit_distance(item: np.ndarray, text: np.ndarray) -> int:
 
 def matches(index: Index, codes: np.ndarray, ends: np.ndarray, distance: float) -> dict[tuple[int, int], int]:
     """(document, item) -> edit distance, for those that are near enough."""
+    if distance > index.distance:
+        raise ValueError("the index proposes pairs up to its own distance only")
     begins = np.concatenate([[0], ends[:-1]])
+    docs, numbers, places = index.candidates(codes, ends)
+    low = np.maximum(begins[docs], places - index.slacks[numbers])
+    high = np.minimum(ends[docs], places + index.lengths[numbers] + index.slacks[numbers])
+    # places are in order, so that those of one pair that overlap follow each other
+    new = np.ones(len(docs), bool)
+    new[1:] = (np.diff(docs) != 0) | (np.diff(numbers) != 0) | (low[1:] > high[:-1])
+    firsts = np.flatnonzero(new)
+    lasts = np.append(firsts[1:], len(docs))[: len(firsts)] - 1
     best: dict[tuple[int, int], int] = {}
-    tried = set()
-    for doc, number, place in index.candidates(codes, ends):
-        item = index.items[number][1]
-        if (doc, number, place) in tried or best.get((doc, number)) == 0:
+    for first, last in zip(firsts.tolist(), lasts.tolist()):
+        pair = int(docs[first]), int(numbers[first])
+        if best.get(pair) == 0:
             continue
-        tried.add((doc, number, place))
+        item, text = index.items[pair[1]][1], codes[low[first] : high[last]].astype(np.int64)
         slack = int(distance * len(item))
-        low, high = max(begins[doc], place - slack), min(ends[doc], place + len(item) + slack)
-        found = edit_distance(item, codes[low:high].astype(np.int64))
+        if np.isin(item, text).sum() < len(item) - slack:
+            continue
+        found = edit_distance(item, text)
         if found <= slack:
-            best[doc, number] = min(found, best.get((doc, number), found))
+            best[pair] = min(found, best.get(pair, found))
     return best
 
 
@@ -242,7 +241,7 @@ def _search(shared, distance: float):
 
 
 def contaminated(
-    docs: DataFrame, benchmark: DataFrame, distance: float = DISTANCE, repetitions: int = REPETITIONS
+    docs: DataFrame, benchmark: DataFrame, distance: float = DISTANCE
 ) -> DataFrame:
     """(doc_id, item_id, edit_distance, item_words, similarity) for each document that holds an item."""
     spark = docs.sparkSession
@@ -255,7 +254,7 @@ def contaminated(
         # a block holds about BLOCK characters of the benchmark
         own = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == block).distinct().collect()
         listed = [(r["item_id"], words_of(r["text"])) for r in sorted(own, key=lambda r: (r[0] is not None, r[0] or 0, r[1]))]
-        shared = spark.sparkContext.broadcast((listed, repetitions))
+        shared = spark.sparkContext.broadcast((listed, distance))
         found = rows.mapInArrow(
             _search(shared, distance), "doc_id long, item_id long, edit_distance long, item_words long"
         )

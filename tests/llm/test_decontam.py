@@ -1,6 +1,7 @@
 import random
 
 import numpy as np
+import pytest
 
 from listing_lake.llm import decontam as dc
 from listing_lake.llm.common import table
@@ -109,3 +110,49 @@ def test_odd_rows(spark, monkeypatch):
     marks = spark.createDataFrame([(*i, 1) for i in items], ITEMS)
     assert sorted(r.doc_id or 0 for r in dc.clean(frame, marks).collect()) == [0, 12, 13, 16]
     assert run(spark, [], items) == {} and run(spark, docs, []) == {}
+
+
+def _replaced(words, count, where, rng):
+    """count words replaced: the first, the last, or spread from end to end."""
+    at = {"start": range(count), "end": range(len(words) - count, len(words))}
+    spread = sorted(rng.sample(range(len(words)), count))
+    return [f"new{rng.randrange(10**6)}" if i in at.get(where, spread) else w for i, w in enumerate(words)]
+
+
+@pytest.mark.parametrize("where", ["start", "end", "spread"])
+def test_every_item_within_the_distance_is_found(where):
+    """Up to 20 % edits, wherever they are, on items of 5 to 300 words."""
+    rng = random.Random(11)
+    vocabulary = [f"w{i}" for i in range(400)]
+    items = [(i, rng.choices(vocabulary, k=n)) for i, n in enumerate([*range(5, 80), 120, 200, 300] * 2)]
+    index, known = dc.Index(items), dc._Codes()
+    texts, parts = [], []
+    for _, words in items:
+        around = rng.choices(vocabulary, k=100)
+        texts.append(around[:50] + _replaced(words, int(dc.DISTANCE * len(words)), where, rng) + around[50:])
+        parts.append(np.array([known[w] for w in texts[-1]], np.uint64))
+    found = dc.matches(index, np.concatenate(parts), np.cumsum([*map(len, parts)]), dc.DISTANCE)
+    for number, (_, words) in enumerate(items):
+        assert found.get((number, number)) == distance(words, texts[number])
+
+
+def test_random_edits_up_to_the_distance_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(dc, "PLACES", 50)  # many small steps
+    monkeypatch.setattr(dc, "AROUND", 90)
+    rng = random.Random(3)
+    vocabulary = [f"w{i}" for i in range(60)]
+    items = [(i, rng.choices(vocabulary, k=rng.randint(1, 40))) for i in range(60)]
+    docs = []
+    for _, words in items:
+        around = rng.choices(vocabulary, k=40)
+        docs.append(around[:20] + _edited(words, rng.choice([0.0, 0.1, 0.2]), rng) + around[20:])
+    index, known = dc.Index(items), dc._Codes()
+    parts = [np.array([known[w] for w in d], np.uint64) for d in docs]
+    found = dc.matches(index, np.concatenate(parts), np.cumsum([*map(len, parts)]), dc.DISTANCE)
+    want = {
+        (d, i): e
+        for d, text in enumerate(docs)
+        for i, words in items
+        if (e := distance(words, text)) <= int(dc.DISTANCE * len(words))
+    }
+    assert found == want
