@@ -9,8 +9,10 @@ block as a stream, one block in memory at a time, and yields its own best
 ``k``; a window keeps the best ``k`` of all shards.
 
 A subtree is skipped if its smallest possible distance, times ``factor``, exceeds
-the distance of the k-th best so far. Factor 1 is exact; a larger factor skips
-more and may miss neighbours.
+the distance of the k-th best so far. Factor 1, the default, is exact on any
+vectors. A larger factor skips more and may miss neighbours, many of them on
+vectors with a decaying spectrum or of low rank, so it is for callers that know
+their vectors.
 
 Scores are inner products of the given vectors in double precision. Ties go to
 the smaller id. Of equal vectors in a shard only the k + 1 with the smallest ids
@@ -36,7 +38,7 @@ from listing_lake.session import stored
 
 K = 20
 EVERY = 20
-FACTOR = 4.0
+FACTOR = 1.0
 SHARD = 4096
 BLOCK = 512
 LEAF = 128

@@ -52,6 +52,24 @@ def test_default_recall(spark):
     assert np.mean(shares) >= 0.95
 
 
+def structured(kind, n=1200, dim=64):
+    """Unit vectors with a decaying spectrum or of low rank."""
+    rng = np.random.default_rng(8)
+    if kind.startswith("rank"):
+        rank = int(kind.split()[1])
+        vectors = rng.normal(size=(n, rank)) @ rng.normal(size=(rank, dim))
+    else:
+        vectors = rng.normal(size=(n, dim)) * np.arange(1, dim + 1) ** -float(kind.split()[1])
+    return vectors / np.linalg.norm(vectors, axis=1)[:, None]
+
+
+@pytest.mark.parametrize("kind", ["power 1", "power 0.5", "rank 4", "rank 8", "rank 16"])
+def test_default_finds_all_on_structured_vectors(spark, kind):
+    rows = [(i, v.tolist(), 0) for i, v in enumerate(structured(kind))]
+    found = run(spark.createDataFrame(rows, "vec_id long, embedding array<double>, part int"))
+    same(found, brute([(i, v) for i, v, _ in rows]))
+
+
 def test_pruning_skips_and_stays_exact_on_clustered_vectors():
     rng = np.random.default_rng(4)
     centers = rng.normal(size=(12, 3)) * 20
