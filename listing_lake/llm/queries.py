@@ -5,20 +5,25 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from listing_lake.llm import (
     ann,
     chat,
+    codes,
     decontam,
     langid,
     linedup,
+    negatives,
     packing,
     quality,
     secret_scan,
     simhash,
+    token_store,
     toxicity,
 )
 from listing_lake.llm.common import table
+from listing_lake.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +68,22 @@ def _line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return linedup.drop_recurring(table(spark, sf, "documents")).select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def _token_store(spark: SparkSession, sf: str) -> DataFrame:
+    folder = work_dir(spark, "ids")
+    token_store.write(table(spark, sf, "documents"), folder)
+    return token_store.read(spark, folder)
+
+
+def _codes(spark: SparkSession, sf: str) -> DataFrame:
+    coded, _ = codes.compress(table(spark, sf, "embeddings"))
+    return codes.with_label_error(coded)
+
+
+def _negatives(spark: SparkSession, sf: str) -> DataFrame:
+    other = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, sf, "embeddings").withColumn("label", other))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_best_fit_packing": _packing,
@@ -75,8 +96,15 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": _toxicity,
         "op9_secret_scan": _secrets,
         "op10_line_dedup": _line_dedup,
+        "op11_token_store": _token_store,
+        "op12_vector_codes": _codes,
+        "op13_hard_negatives": _negatives,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_line_dedup": linedup.ORACLE_SQL}
+    return {
+        "op10_line_dedup": linedup.ORACLE_SQL,
+        "op12_vector_codes": codes.ORACLE_SQL,
+        "op13_hard_negatives": negatives.ORACLE_SQL,
+    }
