@@ -22,9 +22,11 @@ the whole is known from a listing. The files are written by Spark's text writer,
 which passes the bytes on as they are and adds one line end, so any store that
 Spark can write to will do, and only committed tasks leave files.
 
-Texts are cut at ASCII white space, which no token crosses, and the tokenizer
-library encodes every distinct piece once; strings of special tokens become those
-tokens, as the library has it.
+Texts of Latin letters, digits and ASCII signs are lower-cased and cut into words
+here (such a text needs no more), and the tokenizer library's model encodes every
+distinct word. Other texts are cut at ASCII white space, which no token crosses, and
+the library encodes every piece that is not plain; strings of special tokens become
+those tokens, as the library has it.
 
 Null text: empty, that is the end id alone. Null ids come first. Rows that share
 an id stay separate, in the order of their texts' hashes; equal rows too, and no
@@ -34,11 +36,14 @@ and no rows.
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
 from functools import cache
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -47,6 +52,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from listing_lake.llm.common import slices
 
@@ -56,14 +62,23 @@ END = 1
 SHARD = 1 << 23
 #: One bits between two known positions.
 SAMPLE = 4096
-#: Pieces of text whose ids a worker remembers, and the longest of them in bytes.
-REMEMBERED, SHORT = 1_000_000, 64
-#: Bytes of a text that are cut into pieces at a time.
-CHUNK = 1 << 22
+#: Words and other pieces of text whose ids a worker remembers in one generation.
+REMEMBERED = 400_000
+#: Characters of a text that are cut into words at a time.
+CHUNK = 1 << 20
 
 _MAGIC = b"IDSHARD1"
 _HEAD = struct.Struct("<8sIII")
 _FANO = struct.Struct("<qIBI")  # first value, count, low bits, bytes of high bits
+# What the library does with a text before its model. For these characters that comes
+# to the words below: they are composed already, and lower-cased one by one.
+_STEPS = {
+    "normalizer": ["NFC", "Replace", "Lowercase"],
+    "split": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+",
+}
+_PLAIN, _NOTHING = re.compile(r"[\t\n\r -~À-ÖØ-öø-įı-ſ]*"), re.compile("")
+_SPACE = re.compile("[\t-\r ]+")
+_WORDS = re.compile(r"[a-zß-öø-ſ]+|'(?:[stmd]|re|ve|ll)|[0-9]|[!-/:-@\[-`{-~]+")
 _COUNTS = ("part", "before", "ids")
 
 
@@ -136,23 +151,63 @@ class EliasFano:
 # ---------------------------------------------------------------- tokens
 
 
-class _Ids(dict):
-    """Piece of text -> its ids as little-endian bytes, remembered up to a bound."""
+def _steps(path: str) -> dict:
+    """The steps of a tokenizer file in the form of _STEPS, as far as it has them."""
+    file = json.loads(Path(path).read_text())
+    split = ((file["pre_tokenizer"] or {}).get("pretokenizers") or [{}])[0].get("pattern", {}).get("Regex")
+    return {"normalizer": [n["type"] for n in (file["normalizer"] or {}).get("normalizers", [])], "split": split}
+
+
+class _Recent(dict):
+    """What ``find`` says, remembered for the last keys: two generations of a bounded size."""
+
+    def __init__(self):
+        super().__init__()
+        self.old: dict = {}
+
+    def __missing__(self, key):
+        found = self.old.get(key)
+        if found is None:
+            found = self.find(key)
+        if len(self) >= REMEMBERED:
+            self.old = dict(self)
+            self.clear()
+        self[key] = found
+        return found
+
+
+class _Words(_Recent):
+    """Word as the tokenizer's normalizer leaves it -> its ids as little-endian bytes."""
+
+    def __init__(self, tokenizer: Tokenizer, kind: str):
+        super().__init__()
+        self.model, self.kind = tokenizer.model, kind
+        self.letters = ByteLevel(add_prefix_space=False, use_regex=False)
+
+    def find(self, word: str) -> bytes:
+        shown = word if word.isascii() else self.letters.pre_tokenize_str(word)[0][0]
+        return np.array([t.id for t in self.model.tokenize(shown)], self.kind).tobytes()
+
+
+class _Ids(_Recent):
+    """Piece of text that is not plain -> its ids as little-endian bytes."""
 
     def __init__(self, path: str):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         self.tokenizer = Tokenizer.from_file(path)
         self.kind = "<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        self.words = _Words(self.tokenizer, self.kind)
+        self.plain = _PLAIN if _STEPS.items() <= _steps(path).items() else _NOTHING
 
-    def __missing__(self, piece: bytes) -> bytes:
-        ids = self.tokenizer.encode(piece.decode("utf-8", "replace"), add_special_tokens=False).ids
-        found = np.array(ids, self.kind).tobytes()
-        if len(piece) <= SHORT:
-            if len(self) >= REMEMBERED:
-                self.clear()
-            self[piece] = found
-        return found
+    def find(self, piece: str) -> bytes:
+        return np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def of(self, text: str) -> bytes | None:
+        """The ids of a plain text, None if it is not one."""
+        if self.plain.fullmatch(text) and "<|" not in text:
+            return b"".join(map(self.words.__getitem__, _WORDS.findall(text.lower())))
+        return None
 
 
 @cache
@@ -160,21 +215,28 @@ def _ids(path: str) -> _Ids:
     return _Ids(path)
 
 
-def _pieces(text: bytes) -> Iterator[list[bytes]]:
-    """The text between white space, some megabytes at a time."""
+def _chunks(text: str) -> Iterator[str]:
     start = 0
     while len(text) - start > CHUNK:
-        cut = text.find(b" ", start + CHUNK)
-        if cut < 0:
+        cut = _SPACE.search(text, start + CHUNK)
+        if not cut:
             break
-        yield text[start:cut].split()
-        start = cut
-    yield text[start:].split()
+        yield text[start : cut.start()]
+        start = cut.start()
+    yield text[start:]
 
 
-def encode(text: bytes | None, ids: _Ids, end: int = END) -> bytes:
+def encode(text: str | None, ids: _Ids, end: int = END) -> bytes:
     """The ids of one text and the end id, in bytes."""
-    parts = [b"".join(map(ids.__getitem__, pieces)) for pieces in _pieces(text or b"")]
+    parts = []
+    for chunk in _chunks(text or ""):
+        found = ids.of(chunk)
+        if found is not None:
+            parts.append(found)
+            continue
+        for piece in _SPACE.split(chunk):
+            found = ids.of(piece)
+            parts.append(ids[piece] if found is None else found)
     return b"".join((*parts, np.array([end], ids.kind).tobytes()))
 
 
@@ -253,7 +315,7 @@ def write(docs: DataFrame, folder: str, path: str = TOKENIZER, end: int = END, s
     text = F.col("text").cast("string")
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        text.cast("binary").alias("text"),
+        text.alias("text"),
         F.xxhash64(text).alias("version"),
         F.monotonically_increasing_id().alias("nth"),  # deals out rows that are equal
     )

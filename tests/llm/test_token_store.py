@@ -1,4 +1,5 @@
 import zlib
+from functools import cache
 
 import numpy as np
 import pytest
@@ -26,9 +27,14 @@ def expected(tokenizer, text):
     return tokenizer.encode(text or "", add_special_tokens=False).ids + [ts.END]
 
 
+@cache
+def remembered():
+    return ts._Ids(ts.TOKENIZER)
+
+
 def encoded(text):
-    ids = ts._Ids(ts.TOKENIZER)
-    return np.frombuffer(ts.encode(None if text is None else text.encode(), ids), ids.kind).tolist()
+    ids = remembered()
+    return np.frombuffer(ts.encode(text, ids), ids.kind).tolist()
 
 
 def test_ids_equal_the_library(tokenizer, monkeypatch):
@@ -44,6 +50,27 @@ def test_ids_equal_the_library_on_any_text(tokenizer, text):
     assert encoded(text) == expected(tokenizer, text)
 
 
+LATIN = "".join(map(chr, [*range(32, 127), *range(0xC0, 0x250)]))
+
+
+@settings(max_examples=500, deadline=None)
+@given(st.text(LATIN + "''stremvld  ", max_size=60))
+def test_ids_equal_the_library_on_latin_text(tokenizer, text):
+    assert encoded(text) == expected(tokenizer, text)
+
+
+def test_every_latin_character(tokenizer):
+    for c in LATIN:
+        for text in (c, f"a{c}b", f"{c}{c}", f"'{c}"):
+            assert encoded(text) == expected(tokenizer, text)
+
+
+def test_other_tokenizer_files_go_through_the_library(monkeypatch):
+    monkeypatch.setattr(ts, "_STEPS", {"split": "another"})
+    ids = ts._Ids(ts.TOKENIZER)
+    assert ts.encode("Word's  end", ids) == ts.encode("Word's  end", remembered()) and not ids.words
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(-(2**63), 2**63 - 1) | st.integers(0, 50), max_size=60), st.randoms())
 def test_elias_fano_holds_any_sequence(values, random):
