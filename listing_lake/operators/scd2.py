@@ -178,6 +178,31 @@ def _expiring_pairs(
     )
 
 
+def _ended(
+    rows: DataFrame, columns: list[str], day: Column, loaded_at: str, copies: str
+) -> DataFrame:
+    """Closes the rows that ``_copies`` batch rows end (NULL: none) at ``day``."""
+    if copies not in (ONCE, PER_MATCH):
+        raise ValueError(f"copies must be per_match or once, not {copies!r}")
+    closing = {
+        "is_current": F.lit(False),
+        "valid_to": day.cast("date"),
+        "_gold_loaded_at": F.lit(loaded_at),
+    }
+    ended = F.col("_copies").isNotNull()
+    judged = rows.withColumns(
+        {name: F.when(ended, value).otherwise(F.col(name)) for name, value in closing.items() if name in columns}
+    )
+    if copies == PER_MATCH:
+        left = F.col("_copies") - F.col("_from")
+        judged = (
+            judged.withColumn("_copies", F.coalesce("_copies", F.lit(1)).cast("long"))
+            .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(PORTION).cast("long"))))
+            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(PORTION)).cast("int"))))
+        )
+    return judged.select(*columns)
+
+
 def merge_open(
     open_versions: DataFrame,
     incoming: DataFrame,
@@ -200,34 +225,9 @@ def merge_open(
     pair = [*ids, tracked]
     open_pairs = open_versions.select(*pair).dropna().distinct()
     expiring = _expiring_pairs(open_pairs, incoming, ids, tracked)
-    if copies == ONCE:
-        expiring = expiring.withColumn("_copies", F.lit(1).cast("long"))
-    elif copies != PER_MATCH:
-        raise ValueError(f"copies must be per_match or once, not {copies!r}")
-
-    closing = {
-        "is_current": F.lit(False),
-        "valid_to": file_date.cast("date"),
-        "_gold_loaded_at": F.lit(loaded_at),
-    }
-    ended = F.col("_copies").isNotNull()
-    judged = open_versions.join(expiring, pair, "left").withColumns(
-        {
-            name: F.when(ended, value).otherwise(F.col(name))
-            for name, value in closing.items()
-            if name in open_versions.columns
-        }
-    )
-    columns = open_versions.columns
-    if copies == PER_MATCH:
-        left = F.col("_copies") - F.col("_from")
-        judged = (
-            judged.withColumn("_copies", F.coalesce("_copies", F.lit(1)).cast("long"))
-            .withColumn("_from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_copies") - 1, F.lit(PORTION).cast("long"))))
-            .withColumn("_copy", F.explode(F.sequence(F.lit(1), F.least(left, F.lit(PORTION)).cast("int"))))
-        )
-    new = incoming.join(open_pairs, pair, "left_anti").select(*columns)
-    return judged.select(*columns).unionByName(new)
+    judged = _ended(open_versions.join(expiring, pair, "left"), open_versions.columns, file_date, loaded_at, copies)
+    new = incoming.join(open_pairs, pair, "left_anti").select(*open_versions.columns)
+    return judged.unionByName(new)
 
 
 def merge(
@@ -245,6 +245,121 @@ def merge(
     )
 
 
+# ------------------------------------------------------------ many batches in one pass
+
+
+def _lifetimes(
+    open_pairs: DataFrame, incoming: DataFrame, ids: list[str], tracked: str, steps: list[str]
+) -> DataFrame:
+    """Which (id, value) a batch opens, when it ends, and how many rows end it.
+
+    The merge rule on one id, step by step: a batch whose rows all have one known
+    value leaves just that value open; a batch with several ends all that is open
+    and opens those of its values that were not. So a value that comes in every
+    step of a run is open after the first one, stays so over steps that have it
+    alone, and turns at each step that has others too: what is open is told by
+    counting within runs. All windows work on counted rows, one for each value
+    and step of an id, and share one exchange.
+    """
+    pair = [*ids, tracked]
+    counted = incoming.dropna(subset=pair).groupBy(*pair, *steps).agg(
+        F.count(F.lit(1)).alias("_n"), F.max("valid_from").alias("_day")
+    )
+    started = open_pairs.withColumn("_batch", F.lit(0)).unionByName(
+        counted.withColumn("_batch", F.lit(1)), allowMissingColumns=True
+    )
+    of_step = Window.partitionBy(*ids, "_step")
+    whole_step = of_step.orderBy(tracked).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    placed = (
+        started.withColumn("_step", F.struct("_batch", *steps))
+        .repartition(*ids)
+        .withColumns({"_all": F.sum("_n").over(of_step), "_values": F.count(F.lit(1)).over(of_step)})
+        .withColumns(
+            {
+                "_seq": F.dense_rank().over(Window.partitionBy(*ids).orderBy("_step")),
+                "_next": F.lead(F.struct("_day", "_all")).over(Window.partitionBy(*ids).orderBy("_step", tracked)),
+            }
+        )
+        # right on the last row of a step, so handed to all of them
+        .withColumn("_next", F.last("_next").over(whole_step))
+        .withColumn("_alone", (F.col("_batch") == 0) | (F.col("_values") == 1))
+    )
+    by_value = Window.partitionBy(*pair).orderBy("_seq")
+    run = Window.partitionBy(*pair, "_run")
+    later = run.orderBy(F.desc("_seq"))
+    gap = F.coalesce(F.col("_seq") != F.lag("_seq").over(by_value) + 1, F.lit(True))
+    turn = F.when(~F.col("_alone"), F.struct("_day", (F.col("_all") - F.col("_n")).alias("_all")))
+    judged = (
+        placed.withColumn("_gap", gap.cast("int"))
+        .withColumn("_run", F.sum("_gap").over(by_value))
+        .withColumn("_set", F.sum(F.col("_alone").cast("int")).over(run.orderBy("_seq")))
+        .withColumn("_nth", F.row_number().over(Window.partitionBy(*pair, "_run", "_set").orderBy("_seq")))
+        .withColumn("_open", F.col("_nth") % 2 == 1)
+        .withColumn("_known", F.coalesce(F.lag("_open").over(run.orderBy("_seq")), F.lit(False)))
+        .withColumn(
+            "_end",
+            F.coalesce(
+                F.last(turn, ignorenulls=True).over(later.rowsBetween(Window.unboundedPreceding, -1)),
+                F.first("_next").over(later),
+            ),
+        )
+    )
+    return judged.filter((F.col("_batch") == 0) | ~F.col("_known")).select(
+        *pair, "_batch", *steps, F.col("_end._day").alias("_ended"), F.col("_end._all").alias("_copies")
+    )
+
+
+def replay_open(
+    open_versions: DataFrame,
+    incoming: DataFrame,
+    loaded_at: str,
+    ids: Sequence[str] = MERGE_KEYS,
+    tracked: str = "price",
+    copies: str = ONCE,
+    steps: Sequence[str] = ("valid_from",),
+) -> DataFrame:
+    """What ``merge_open`` gives after one batch for each value of ``steps``, in that order.
+
+    Each batch has one ``valid_from``. The number of exchanges does not depend on
+    the number of batches: the wide rows move once, to meet what was decided
+    about their (id, value, step).
+    """
+    ids, steps = list(ids), list(steps)
+    pair, columns = [*ids, tracked], open_versions.columns
+    open_pairs = open_versions.select(*pair).dropna().distinct()
+    decided = _lifetimes(open_pairs, incoming, ids, tracked, steps).withColumn("_found", F.lit(True))
+    keys = [*pair, "_batch", *steps]
+    decided = decided.select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_ended", "_copies", "_found")
+    # valid_from may be a step: open versions take part as step NULL of batch 0
+    old = open_versions.withColumns({"_batch": F.lit(0), **{f"_key_{s}": F.lit(None) for s in steps}})
+    new = incoming.withColumns({"_batch": F.lit(1), **{f"_key_{s}": F.col(s) for s in steps}})
+    own = [*columns, "_batch", *[f"_key_{s}" for s in steps]]
+    rows = new.select(*own).unionByName(old.select(*own))
+    same = F.lit(True)
+    for k in keys:
+        same = same & F.col(f"_key_{k}" if k in steps else k).eqNullSafe(F.col(f"_of_{k}"))
+    unknown = F.lit(False)
+    for k in pair:
+        unknown = unknown | F.col(k).isNull()
+    met = rows.join(decided, same, "left").filter(F.col("_found") | (F.col("_batch") == 0) | unknown)
+    return _ended(met, columns, F.col("_ended"), loaded_at, copies)
+
+
+def replay(
+    gold: DataFrame,
+    incoming: DataFrame,
+    loaded_at: str,
+    ids: Sequence[str] = MERGE_KEYS,
+    tracked: str = "price",
+    copies: str = ONCE,
+    steps: Sequence[str] = ("valid_from",),
+) -> DataFrame:
+    """Full history after many batches in one pass; closed versions bypass every join."""
+    return closed_rows(gold).unionByName(
+        replay_open(current_rows(gold), incoming, loaded_at, ids, tracked, copies, steps)
+    )
+
+
 # ------------------------------------------------------------ late arrivals
 
 

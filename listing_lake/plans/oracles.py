@@ -419,6 +419,7 @@ FROM names""",
         "scd2_incremental": _with(*one_batch, select=f"SELECT {GOLD_COLUMNS} FROM g1"),
         "scd2_incremental_first_load": _with(*first_load, select=f"SELECT {GOLD_COLUMNS} FROM g1"),
         "scd2_replay": _with(*replay, select=f"SELECT {GOLD_COLUMNS} FROM {final}"),
+        "scd2_replay_fold": _with(*replay, select=f"SELECT {GOLD_COLUMNS} FROM {final}"),
         "stream_gold": _with(*store, select=f"SELECT {GOLD_COLUMNS} FROM {store_final}"),
         "scd2_late_rebuild": _stream_late(),
         "stream_late": _stream_late(),

@@ -9,8 +9,10 @@ run that died can simply be started again.
 from __future__ import annotations
 
 import datetime as dt
+import logging
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listing_lake import rules, schemas
@@ -22,6 +24,8 @@ from listing_lake.session import stored
 from listing_lake.sources import landing
 from listing_lake.sources.lake import Lake
 
+_log = logging.getLogger(__name__)
+
 BULK, MERGE, REBUILD = "bulk", "merge", "rebuild"
 
 
@@ -297,13 +301,25 @@ def _publish_bulk(lake: Lake, files: DataFrame, run_id: str | None, now: dt.date
 def _publish_in_order(
     lake: Lake, files: DataFrame, run_id: str | None, now: dt.datetime, late: str, copies: str
 ) -> None:
-    """One version per file by date, then name and hash; each depends on the one before.
+    """All files by date, then name and hash, in one pass and one version.
 
-    The outcomes are recorded together at the end. A run that dies before that
-    loses nothing: the next one finds the files among the committed ones.
+    A rebuild, and a pass that fails, take the files one by one, each as a version
+    of its own, so that the file that fails is known. The outcomes are recorded
+    together at the end. A run that dies before that loses nothing: the next one
+    finds the files among the committed ones.
     """
     day = F.coalesce("snapshot_date", F.lit(now.date()))
     ordered = files.withColumn("day", day).orderBy("day", "file_name", "file_hash")
+    if late == MERGE:
+        try:
+            named = ordered.select("file_hash", "file_name", "day")
+            rows = lake.silver(files).join(named, "file_hash")
+            merge_batches(lake, rows, F.col("day"), now, ["file_name", "file_hash"], files, copies=copies)
+        except Exception as failure:
+            _log.warning("merging all files at once failed, so they are taken one by one: %s", failure)
+        else:
+            lake.lineage.record(_gold_outcomes(files, rules.SUCCESS, run_id), now)
+            return
     failed = None
     for file in ordered.toLocalIterator():
         one = files.filter(F.col("file_hash") == file["file_hash"])
@@ -352,6 +368,30 @@ def merge_batch(
     lake.gold.publish(merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
 
 
+def merge_batches(
+    lake: Lake,
+    silver: DataFrame,
+    day: Column,
+    now: dt.datetime,
+    steps: Sequence[str] = (),
+    file_hashes: DataFrame | None = None,
+    batch_key: str | None = None,
+    copies: str = scd2.ONCE,
+) -> None:
+    """Merge Silver rows of many dates into both Gold tables as one version.
+
+    The rows are applied by day, and within a day by the columns in ``steps``.
+    """
+    stamp = now.isoformat()
+    traded = scd2.enrich(scd2.only_traded(silver), stamp, day)
+    incoming = scd2.conform(traded, "table_name", *steps)
+    merged = scd2.replay_open(
+        scd2.current_rows(lake.gold.read()), incoming, stamp, ("table_name", *scd2.MERGE_KEYS),
+        copies=copies, steps=["valid_from", *steps],
+    )
+    lake.gold.publish(merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
+
+
 def _rebuild_and_merge(
     lake: Lake,
     gold: DataFrame,

@@ -287,6 +287,7 @@ def test_a_failed_merge_is_recorded(lake, now, monkeypatch):
         raise RuntimeError("disk full")
 
     monkeypatch.setattr(pipeline, "merge_batch", broken)
+    monkeypatch.setattr(pipeline, "merge_batches", broken)
     with pytest.raises(RuntimeError):
         run_all(lake, now)
     assert statuses(lake)["b", "GOLD"][0] == "FAILED"

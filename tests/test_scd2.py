@@ -95,6 +95,53 @@ def test_merge_against_nested_loops(spark, monkeypatch):
             gold = random.Random(1).sample(gold, min(len(gold), 60))
 
 
+@pytest.mark.parametrize("seed", range(4))
+@pytest.mark.parametrize("copies", ["per_match", "once"])
+def test_replay_in_one_pass_equals_merge_after_merge(spark, copies, seed):
+    """Batches of several files a day, repeats, NULLs, runs of one value, and a hot id."""
+    rng = random.Random(seed)
+    gold = [(i, p, True, D1, None) for i in range(9) for p in rng.sample([10, 20, 30, 40], rng.randint(0, 2))]
+    gold += [(1, 10, True, D1, None), (None, 10, True, D1, None), (2, None, True, D1, None), (3, 99, False, D1, D1)]
+    start, batches, files = list(gold), [], 14
+    for file in range(files):
+        day = D2 + dt.timedelta(days=file // 2)  # two files a day
+        batch = messy_batch(rng, 9, rng.randint(0, 12)) + [(0, 10 * rng.randint(1, 3)) for _ in range(rng.randint(0, 3))]
+        batches += [(*r, True, day, None, file) for r in batch]
+        gold = brute_merge(gold, batch, day) if copies == "per_match" else once(gold, batch, day)
+    incoming = spark.createDataFrame(batches, ROW + ", file int").repartition(3)
+    found = scd2.replay(
+        spark.createDataFrame(start, ROW), incoming, LOAD, copies=copies, steps=["valid_from", "file"]
+    )
+    assert Counter(tuple(r) for r in found.collect()) == Counter(gold)
+
+
+def once(gold, batch, day):
+    """The merge that keeps an ended version once."""
+    merged = brute_merge(gold, batch, day)
+    for g in gold:
+        ended = (g[0], g[1], False, g[3], day)
+        times = merged.count(ended)
+        if g[2] and g not in merged and times:
+            same = sum(o == g for o in gold)
+            for _ in range(times - same):
+                merged.remove(ended)
+    return merged
+
+
+def test_replay_of_nothing(spark):
+    gold, incoming = golden_frames(spark)
+    none = incoming.limit(0)
+    assert rows(scd2.replay(gold, none, LOAD), "property_id", "price") == rows(gold, "property_id", "price")
+    first = scd2.replay(gold.limit(0), incoming, LOAD)
+    assert rows(first, "property_id", "price") == sorted(INCOMING, key=key)
+
+
+def test_replay_has_a_fixed_number_of_exchanges(spark):
+    gold, incoming = golden_frames(spark)
+    plan = scd2.replay(gold, incoming, LOAD)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and plan.count("RepartitionByExpression") == 1
+
+
 def test_timeline_golden(spark):
     data = [(1, 1, 100), (1, 2, None), (1, 3, 100), (1, 4, 100), (2, 1, None), (2, 2, 7)]
     df = spark.createDataFrame(
