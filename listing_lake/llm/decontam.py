@@ -30,7 +30,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listing_lake.llm.common import slices
@@ -268,6 +268,15 @@ def contaminated(
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows of docs that hold no benchmark item. Rows with a null id are kept."""
-    found = contaminated(docs, benchmark).select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["bad_id"], "left_anti")
+    """The rows of docs that hold no benchmark item.
+
+    Rows that share an id but not the text are judged one by one. Rows with a null
+    id are kept.
+    """
+
+    def key(doc_id: Column, text: Column) -> Column:
+        return F.when(doc_id.isNotNull(), F.xxhash64(doc_id.cast("long"), text.cast("string")))
+
+    keyed = docs.select(key(F.col("doc_id"), F.col("text")).alias("doc_id"), "text")
+    found = contaminated(keyed, benchmark).select(F.col("doc_id").alias("bad_key")).distinct()
+    return docs.join(found, key(docs["doc_id"], docs["text"]) == found["bad_key"], "left_anti")

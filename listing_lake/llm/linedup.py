@@ -85,8 +85,13 @@ def _without(lines: Column, dropped: Column) -> Column:
     return F.array_join(F.flatten(kept), "\n")
 
 
-def drop_recurring(docs: DataFrame) -> DataFrame:
-    """docs with text reduced, and n_lines and n_dropped added."""
+def _named(docs: DataFrame, column: str) -> Column:
+    """A column by its whole name, dots and all."""
+    return docs["`" + column.replace("`", "``") + "`"]
+
+
+def drop_recurring(docs: DataFrame, n_lines: str = "n_lines", n_dropped: str = "n_dropped") -> DataFrame:
+    """docs with text reduced, and two counts added; they replace columns of those names."""
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     hashed = stored(templates(slim))
     shared = stored(recurring(hashed))
@@ -103,13 +108,13 @@ def drop_recurring(docs: DataFrame) -> DataFrame:
     numbers = dropped["dropped_lines"]
     text = docs["text"].cast("string")
     lines = F.split(text, "\n")
-    columns = [docs[c] for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    columns = [_named(docs, c) for c in docs.columns if c not in ("text", n_lines, n_dropped)]
     found = docs.join(dropped, same, "left")
     return found.select(
         *columns,
         F.when(numbers.isNull(), text).otherwise(_without(lines, numbers)).alias("text"),
-        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias("n_lines"),
-        F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias("n_dropped"),
+        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias(n_lines),
+        F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias(n_dropped),
     )
 
 

@@ -82,14 +82,15 @@ def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     for part in slices(batches):
         found = np.fromiter(map(fingerprint, part.column(1).to_pylist()), np.uint64, part.num_rows)
         yield pa.RecordBatch.from_arrays(
-            [part.column(0), pa.array(found.view(np.int64))], ["doc_id", "fp"]
+            [part.column(0), part.column(2), pa.array(found.view(np.int64))], ["doc_id", "version", "fp"]
         )
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp): fp holds the 64 bits as a signed long."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string"))
-    return rows.mapInArrow(_fingerprints, "doc_id long, fp long")
+    """(doc_id, version, fp): fp holds the 64 bits as a signed long, version is a hash of the text."""
+    text = F.col("text").cast("string")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, F.xxhash64(text).alias("version"))
+    return rows.mapInArrow(_fingerprints, "doc_id long, version long, fp long")
 
 
 # ---------------------------------------------------------------- anchors
@@ -186,30 +187,49 @@ def links(fps: DataFrame) -> DataFrame:
     return homes.join(probes, close).select("a", "b")
 
 
+def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The rows (doc_id, version, fp), and for every fp the root of its component and its smallest id."""
+    rows = stored(fingerprints(docs))
+    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
+    reached = components(links(distinct))
+    return rows, distinct.join(reached, distinct["fp"] == reached["node"], "left").select(
+        F.col("fp").alias("own_fp"), "least", F.coalesce("root", "fp").alias("root")
+    )
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, fingerprint, component_id) for every row of docs (doc_id, text).
 
     component_id is the smallest doc_id reachable over links, the row's own
     included; rows with a null id get the smallest id they link to, else null.
     """
-    rows = stored(fingerprints(docs))
-    distinct = stored(rows.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    reached = components(links(distinct))
-    own = distinct.join(reached, distinct["fp"] == reached["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
+    rows, own = _members(docs)
     least = own.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = own.join(least, "root").select(F.col("fp").alias("own_fp"), "component_id")
+    named = own.join(least, "root").select("own_fp", "component_id")
     return rows.join(named, rows["fp"] == named["own_fp"]).select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
     )
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of docs that represent their component: the one with the smallest id.
+    """The rows of docs that represent their component: the smallest id, of that the smallest text hash.
 
-    Rows with a null id are kept. Rows that repeat the representative's id stay.
+    A document is an id with a text: rows that share an id but not the text are
+    judged one by one, and rows that repeat the representative in both stay. Rows
+    with a null id are kept.
     """
-    found = near_duplicates(docs).select(F.col("doc_id").alias("known_id"), "component_id")
-    dropped = found.filter("known_id != component_id").select("known_id").distinct()
-    return docs.join(dropped, docs["doc_id"] == dropped["known_id"], "left_anti")
+    rows, own = _members(docs)
+    rooted = stored(
+        rows.filter("doc_id IS NOT NULL").join(own, rows["fp"] == own["own_fp"]).select("doc_id", "version", "root")
+    )
+    kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "version")).alias("kept"))
+    dropped = (
+        rooted.join(kept, "root")
+        .filter(F.struct("doc_id", "version") != F.col("kept"))
+        .select(F.col("doc_id").alias("dropped_id"), F.col("version").alias("dropped_version"))
+        .distinct()
+    )
+    same = (docs["doc_id"].cast("long") == dropped["dropped_id"]) & (
+        F.xxhash64(docs["text"].cast("string")) == dropped["dropped_version"]
+    )
+    return docs.join(dropped, same, "left_anti")

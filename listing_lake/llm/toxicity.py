@@ -185,8 +185,8 @@ def _apply(model: Logistic):
         for part in batches:
             values = np.column_stack([part.column(n).to_numpy() for n in FEATURES])
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("held_out"), pa.array(model(values))],
-                ["doc_id", "held_out", "score"],
+                [part.column("doc_id"), part.column("version"), part.column("held_out"), pa.array(model(values))],
+                ["doc_id", "version", "held_out", "score"],
             )
 
     return apply
@@ -197,6 +197,11 @@ def score(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFra
 
     labels: (doc_id, toxic).
     """
+    return _scored(docs, labels, cutoff).drop("version")
+
+
+def _scored(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFrame:
+    """The same with a hash of the text, since rows may share an id."""
     spark = docs.sparkSession
     marked = bounded(
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic"))
@@ -210,6 +215,7 @@ def score(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFra
     rows = rows.join(F.broadcast(marked), F.col("doc_id") == F.col("marked_id"), "left").select(
         "doc_id",
         "text",
+        F.xxhash64("text").alias("version"),
         held_out().alias("held_out"),
         "toxic",
         (F.shiftright(F.crc32(F.col("doc_id").cast("string")), 2) % 4 == 3).alias("aside"),
@@ -223,21 +229,29 @@ def score(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataFra
     _, ratios = _ratios(counts)
     shape = ", ".join(f"{name} double" for name in FEATURES)
     measured = stored(
-        rows.select("text", "doc_id", "held_out", F.when(F.col("aside"), F.col("toxic")).alias("toxic")).mapInArrow(
+        rows.select("text", "doc_id", "version", "held_out", F.when(F.col("aside"), F.col("toxic")).alias("toxic")).mapInArrow(
             _measure(spark.sparkContext.broadcast(ratios)),
-            f"doc_id long, held_out boolean, toxic int, {shape}",
+            f"doc_id long, version long, held_out boolean, toxic int, {shape}",
         )
     )
     known = measured.filter("toxic IS NOT NULL").select("toxic", *FEATURES).toArrow()
     model = Logistic(
         np.column_stack([known.column(n).to_numpy() for n in FEATURES]), known.column("toxic").to_numpy() > 0
     )
-    return measured.mapInArrow(_apply(model), "doc_id long, held_out boolean, score double").withColumn(
-        "predicted", (F.col("score") >= cutoff).cast("int")
-    )
+    return measured.mapInArrow(
+        _apply(model), "doc_id long, version long, held_out boolean, score double"
+    ).withColumn("predicted", (F.col("score") >= cutoff).cast("int"))
 
 
 def accepted(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs that are not predicted to be toxic. Rows with a null id are kept."""
-    found = score(docs, labels).filter("predicted = 1").select(F.col("doc_id").alias("bad_id")).distinct()
-    return docs.join(found, docs["doc_id"] == found["bad_id"], "left_anti")
+    """The rows of docs that are not predicted to be toxic.
+
+    Rows that share an id but not the text are judged one by one. Rows with a null
+    id are kept.
+    """
+    bad = _scored(docs, labels).filter("predicted = 1")
+    found = bad.select(F.col("doc_id").alias("bad_id"), F.col("version").alias("bad_version")).distinct()
+    same = (docs["doc_id"].cast("long") == found["bad_id"]) & (
+        F.xxhash64(docs["text"].cast("string")) == found["bad_version"]
+    )
+    return docs.join(found, same, "left_anti")

@@ -1,3 +1,5 @@
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from listing_lake.llm import decontam, linedup, packing, simhash, toxicity
 from listing_lake.llm.common import table
@@ -54,6 +56,39 @@ def test_stages_take_odd_and_no_rows(spark):
         assert (docs.count() > 0) == (n > 0)
 
 
+def test_rows_that_share_an_id_are_judged_one_by_one(spark):
+    t, u = "one text of a few plain words here", "another one that differs in every word"
+    near = spark.createDataFrame([(1, u), (5, t), (5, u), (7, t), (9, "a third"), (5, "a third"), (5, t)], "doc_id long, text string")
+    kept = sorted(map(tuple, simhash.keep_one(near).collect()))
+    assert kept == [(1, u), (5, "a third"), (5, t), (5, t)]
+
+    item = " ".join(f"item{i}" for i in range(12))
+    docs = [(1, f"before {item} after"), (1, "clean words"), (2, "clean words"), (None, item), (None, "clean")]
+    frame = spark.createDataFrame([(*d, 0, 0) for d in docs], "doc_id long, text string, bad_key int, item_id int")
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert sorted((r.doc_id or 0, r.text) for r in decontam.clean(frame, benchmark).collect()) == sorted(
+        (i or 0, t) for i, t in docs[1:]
+    )
+
+    labels, docs = table(spark, SF, "labels"), table(spark, SF, "documents")
+    bad = toxicity.score(docs, labels).filter("predicted = 1").join(docs, "doc_id").select("text").first()["text"]
+    clean = toxicity.accepted(docs, labels).select("doc_id").first()["doc_id"]
+    more = docs.unionByName(
+        spark.createDataFrame([(clean, bad)], "doc_id long, text string"), allowMissingColumns=True
+    )
+    left = toxicity.accepted(more, labels).filter(F.col("doc_id") == clean).select("text").collect()
+    assert len(left) == 1 and left[0]["text"] != bad
+
+
+def test_line_dedup_leaves_other_columns(spark):
+    line = "this line is in two of the documents"
+    rows = [(1, line, 99, 7, "a", 1), (2, f"{line}\nown", 98, 8, "b", 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_lines int, n_dropped int, `a.b` string, _n_lines int")
+    found = corpus_pipeline.line_dedup(spark, docs, SF)
+    assert found.columns == docs.columns
+    assert sorted(map(tuple, found.collect())) == [rows[0], (2, "own", 98, 8, "b", 2)]
+
+
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries())
-    assert numbers == list(range(1, 11)) and set(oracle_sql()) <= set(queries())
+    assert numbers == list(range(1, 14)) and set(oracle_sql()) <= set(queries())
