@@ -15,8 +15,9 @@ counts are added up by a window over (length, partition) rows. Pieces are
 written before they are ranked, so a lost executor cannot renumber them.
 
 Null text: empty, that is the single id 0. Empty tables give no rows. Repeated
-rows are packed like any others. Strings of special tokens are ordinary text. The
-ids are those that the ``tokenizers`` library gives for the same file.
+rows are packed like any others. The ids are those that the ``tokenizers`` library
+gives for the same file by default: texts are split at the strings of its special
+tokens first, which become those tokens.
 """
 
 from __future__ import annotations
@@ -82,6 +83,12 @@ class _Ids(dict):
     def __init__(self, path: str):
         super().__init__()
         self.encode = _encoding(path).encode_ordinary
+        added = json.loads(Path(path).read_text())["added_tokens"]
+        if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added):
+            raise ValueError(f"special tokens of {path} take more than their own string")
+        self.special = {t["content"]: array.array("I", [t["id"]]).tobytes() for t in added}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.at_special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")" if added else "(?!)")
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= REMEMBERED:
@@ -113,8 +120,12 @@ def encode(texts: list[str | None], path: str = TOKENIZER) -> Iterator[bytes]:
     ids = _ids(path)
     for text in texts:
         parts = []
-        for chunk in _chunks(text or ""):
-            parts.append(b"".join(map(ids.__getitem__, _words(chunk))))
+        for said in ids.at_special.split(text or ""):
+            if said in ids.special:
+                parts.append(ids.special[said])
+                continue
+            for chunk in _chunks(said):
+                parts.append(b"".join(map(ids.__getitem__, _words(chunk))))
         parts.append(_END)
         yield b"".join(parts)
 

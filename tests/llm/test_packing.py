@@ -11,15 +11,13 @@ from listing_lake.llm.common import table
 SF = "/root/testdata/sf0.001"
 ODD = [
     None, "", " ", "\n\n  x", "a" * 5000, "don't we'll", "x²³½ Ⅷ é̀ 漢字かな 🙂👩‍🚀", "tab\tnbsp  end \x1c\x1d",
-    "<|endoftext|> text", "¿Qué? 1234 __a_b__ İı ſ", "word " * 9000, " lead and trail  ",
+    "<|endoftext|> text", "a <|endoftext|> b <|endoftext|><|endoftext|>", " <|endoftext| > <|endoftext|>  \n", "¿Qué? 1234 __a_b__ İı ſ", "word " * 9000, " lead and trail  ",
 ]
 
 
 @pytest.fixture(scope="module")
 def tokenizer():
-    found = Tokenizer.from_file(packing.TOKENIZER)
-    found.encode_special_tokens = True
-    return found
+    return Tokenizer.from_file(packing.TOKENIZER)
 
 
 def expected(tokenizer, texts):
