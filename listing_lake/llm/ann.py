@@ -42,8 +42,6 @@ FACTOR = 1.0
 SHARD = 4096
 BLOCK = 512
 LEAF = 128
-#: More than k are held during a search, as block products may differ in their last bits.
-SPARE = 8
 
 
 # ---------------------------------------------------------------- one tree
@@ -100,14 +98,21 @@ def build(ids: np.ndarray, vectors: np.ndarray, top: float, keep: int = K + 1) -
 
 
 class Search:
-    """A block of queries on its way through one tree."""
+    """A block of queries on its way through one tree.
+
+    Block products may differ from the scores in their last bits, so they only
+    choose candidates, with a slack; what is kept and cut is ordered by exact
+    scores and, where those are equal, by id.
+    """
 
     def __init__(self, tree: Tree, ids: np.ndarray, queries: np.ndarray, k: int, factor: float):
         self.tree, self.ids, self.factor, self.k = tree, ids, factor, k
-        self.points = np.column_stack([queries, np.zeros(len(queries))])
+        self.queries, self.vectors = queries, np.ascontiguousarray(tree.vectors[:, :-1])
         self.squares = (queries * queries).sum(axis=1) + tree.top * tree.top
-        self.best = np.full((len(ids), k + SPARE), -np.inf)
-        self.who = np.full((len(ids), k + SPARE), -1)
+        # the rounding of a product, and of a distance that is the root of a small difference
+        self.score_slack, self.slack = 1e-12 * self.squares, 1e-7 * np.sqrt(self.squares)
+        self.best = np.full((len(ids), k), -np.inf)
+        self.who = np.full((len(ids), k), -1)  # places in the tree, which are in the order of ids
         self.compared = 0
         self.visit(tree.root, np.arange(len(ids)))
 
@@ -118,14 +123,25 @@ class Search:
 
     def meet(self, rows: np.ndarray, members: np.ndarray) -> np.ndarray:
         """Takes members as candidates; returns their inner products."""
-        products = self.points[rows] @ self.tree.vectors[members].T
+        products = self.queries[rows] @ self.vectors[members].T
         self.compared += products.size
-        own = self.tree.ids[members][None, :] == self.ids[rows][:, None]
-        scores = np.concatenate([self.best[rows], np.where(own, -np.inf, products)], axis=1)
-        names = np.concatenate([self.who[rows], np.broadcast_to(members, products.shape)], axis=1)
-        by = np.argsort(-scores, axis=1, kind="stable")[:, : self.best.shape[1]]
-        self.best[rows] = np.take_along_axis(scores, by, 1)
-        self.who[rows] = np.take_along_axis(names, by, 1)
+        near = products >= (self.best[rows, -1] - self.score_slack[rows])[:, None]
+        near &= self.tree.ids[members] != self.ids[rows, None]
+        row, place = np.nonzero(near)
+        who = members[place]
+        exact = (self.queries[rows[row]] * self.vectors[who]).sum(axis=1)
+        order = np.lexsort((who, -exact, row))
+        row, who, exact = row[order], who[order], exact[order]
+        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
+        first = nth < self.k
+        hit, at = np.unique(row, return_inverse=True)
+        scores, names = np.full((len(hit), self.k), -np.inf), np.full((len(hit), self.k), -1)
+        scores[at[first], nth[first]], names[at[first], nth[first]] = exact[first], who[first]
+        scores = np.concatenate([self.best[rows[hit]], scores], axis=1)
+        names = np.concatenate([self.who[rows[hit]], names], axis=1)
+        by = np.lexsort((names, -scores), axis=1)[:, : self.k]
+        self.best[rows[hit]] = np.take_along_axis(scores, by, 1)
+        self.who[rows[hit]] = np.take_along_axis(names, by, 1)
         return products
 
     def visit(self, node: Node, rows: np.ndarray) -> None:
@@ -139,22 +155,16 @@ class Search:
         within = away <= node.reach
         self.visit(node.inner, rows[within])
         self.visit(node.outer, rows[~within])
-        slack = 1e-9 * (1 + away)
-        outer = within & (self.factor * (node.gap - away) <= self.bound(rows) + slack)
-        inner = ~within & (self.factor * (away - node.reach) <= self.bound(rows) + slack)
+        slack = self.slack[rows]
+        outer = within & (self.factor * (node.gap - away - slack) <= self.bound(rows) + slack)
+        inner = ~within & (self.factor * (away - node.reach - slack) <= self.bound(rows) + slack)
         self.visit(node.outer, rows[outer])
         self.visit(node.inner, rows[inner])
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(query id, vector id, score) of at most k for each query."""
-        row, place = np.nonzero(np.isfinite(self.best))
-        who = self.who[row, place]
-        exact = (self.points[row, :-1] * self.tree.vectors[who, :-1]).sum(axis=1)
-        order = np.lexsort((self.tree.ids[who], -exact, row))
-        row, who, exact = row[order], who[order], exact[order]
-        nth = np.arange(len(row)) - np.searchsorted(row, row, "left")
-        kept = nth < self.k
-        return self.ids[row[kept]], self.tree.ids[who[kept]], exact[kept]
+        """(query id, vector id, score) of at most k for each query, best first."""
+        row, place = np.nonzero(self.who >= 0)
+        return self.ids[row], self.tree.ids[self.who[row, place]], self.best[row, place]
 
 
 # ---------------------------------------------------------------- shards and blocks
@@ -247,12 +257,17 @@ def nearest(
     blocks = rows.filter(asked).select("*", part("asked", block, "block")).groupBy("dim", "part").applyInArrow(
         _gathered(1, None, k), _PARTS
     )
+    shards = [ceil(f["n"] / shard) for f in facts]
+    task = F.lit(0)  # a task for each shard, numbered over all lengths; a hash would put several into one
+    for number, f in enumerate(facts):
+        task = F.when(F.col("dim") == f["dim"], F.col("part") + sum(shards[:number])).otherwise(task)
+    tasks = min(4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), sum(shards))
     everywhere = stored(blocks).select(
         "dim", F.explode(F.sequence(F.lit(0), parts("n", shard) - 1)).alias("part"), "kind", "content"
     )
     met = (
         stored(trees).union(everywhere)
-        .repartition("dim", "part")
+        .repartitionById(tasks, task.cast("int"))
         .sortWithinPartitions("dim", "part", "kind")
         .mapInArrow(_meet(k, factor), "query_id long, vec_id long, score double")
     )

@@ -86,6 +86,23 @@ def test_pruning_skips_and_stays_exact_on_clustered_vectors():
     assert ann.Search(tree, asked, vectors[asked], 20, 3.0).compared <= search.compared
 
 
+@pytest.mark.parametrize("kind", ["binary", "one-hot", "integers", "one component"])
+def test_ties_between_unequal_vectors(spark, kind):
+    rng, n, dim = np.random.default_rng(2), 1500, 24
+    vectors = {
+        "binary": rng.integers(0, 2, (n, dim)),
+        "one-hot": np.eye(dim)[rng.integers(0, dim, n)],
+        "integers": rng.integers(-3, 4, (n, dim)),
+        "one component": np.column_stack([np.ones(n), np.zeros((n, dim - 2)), rng.normal(size=n)]),
+    }[kind].astype(float)
+    if kind == "one component":
+        vectors[::20, -1] = 0.0  # queries see the first component only
+    order = rng.permutation(n)
+    rows = [(int(i), v.tolist(), 0) for i, v in zip(order, vectors) if v.any()]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>, part int")
+    same(run(frame, shard=400, block=16), brute([(i, v) for i, v, _ in rows]))
+
+
 def test_equal_vectors_and_ties(spark):
     rows = [(i, [1.0, 0.0], 0) for i in range(300)] + [(300 + i, [0.0, float(i % 3)], 0) for i in range(1, 80)]
     frame = spark.createDataFrame(rows, SCHEMA)
