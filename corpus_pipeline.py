@@ -22,11 +22,19 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops lines whose template recurs in other documents, but for its first document."""
-    found = linedup.drop_recurring(docs)
+    n_lines, n_dropped = (_unused(docs, name) for name in ("n_lines", "n_dropped"))
+    found = linedup.drop_recurring(docs, n_lines, n_dropped)
     if "n_chars" in docs.columns:
-        changed = F.when(F.col("n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+        changed = F.when(F.col(n_dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
         found = found.withColumn("n_chars", changed)
-    return found.select(*docs.columns)
+    return found.drop(n_lines, n_dropped).select(*["`" + c.replace("`", "``") + "`" for c in docs.columns])
+
+
+def _unused(docs: DataFrame, name: str) -> str:
+    """A name that no column of docs has."""
+    while name in docs.columns:
+        name = f"_{name}"
+    return name
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
