@@ -12,7 +12,7 @@ hyperplanes part the subtrees. For every split point i and subtree j the node ha
 the smallest and largest distance from i to the vectors of j. With the distances D
 from an anchor to the split points, a vector of j is at least
 max(D_i - largest, smallest - D_i) and at most D_i + largest away, for every i: j is
-left out if that range misses the annulus. Subtrees are visited nearest first, and
+left out if that range misses the annulus. The nearest subtree is visited first, and
 an annulus shrinks with the worst row found so far. Leaves are compared in full, so
 results are exact: scores are whole numbers, ties go to the smaller id, and the
 slack of the distances is far above their rounding.
@@ -52,7 +52,7 @@ EVERY = 50
 POSITIVES, NEGATIVES = 5, 3
 #: The window in hundredths of the positive's score.
 LOW, HIGH = 50, 95
-WAYS, LEAF = 8, 96
+WAYS, LEAF = 8, 128
 SHARD = 4096
 #: Cells of the topmost node, and rows that it is made from.
 CELLS, SAMPLE = 64, 4096
@@ -184,27 +184,34 @@ class Search:
         """Takes members as candidates; returns their scores."""
         scores = self.vectors[rows] @ self.tree.vectors[members].T
         self.compared += scores.size
-        keys = (scores.astype(np.int64) << self.bits) | (self.mask - members)
-        allowed = self.tree.labels[members] == self.labels[rows, None]
+        low, high = self.lowest(rows), self.high[rows]
+        # few are inside any window, the more so as the windows shrink
+        near = (scores >= low.min(axis=1)[:, None]) & (scores <= high.max(axis=1)[:, None])
+        near &= (self.tree.labels[members] == self.labels[rows, None]) == self.same
+        row, place = np.nonzero(near)
         if self.same:
-            allowed &= self.tree.ids[members] != self.ids[rows, None]
-        else:
-            allowed = ~allowed
-        for w in range(self.low.shape[1]):
-            inside = allowed & (scores >= self.low[rows, w, None]) & (scores <= self.high[rows, w, None])
-            hit = inside.any(axis=1)
-            if hit.any():
-                own = np.where(inside[hit], keys[hit], _NONE)
-                found = np.concatenate([self.best[rows[hit], w], own], axis=1)
-                found.partition(found.shape[1] - self.k, axis=1)
-                self.best[rows[hit], w] = np.sort(found[:, -self.k :], axis=1)[:, ::-1]
+            other = self.tree.ids[members[place]] != self.ids[rows[row]]
+            row, place = row[other], place[other]
+        score = scores[row, place]
+        keys = (score.astype(np.int64) << self.bits) | (self.mask - members[place])
+        order = np.lexsort((-keys, row))
+        row, score, keys = row[order], score[order], keys[order]
+        for w in range(low.shape[1]):
+            inside = (score >= low[row, w]) & (score <= high[row, w])
+            own, found = row[inside], keys[inside]
+            nth = np.arange(len(own)) - np.searchsorted(own, own, "left")
+            first = nth < self.k
+            hit = np.unique(own)
+            fresh = np.full((len(hit), self.k), _NONE)
+            fresh[np.searchsorted(hit, own[first]), nth[first]] = found[first]
+            both = np.concatenate([self.best[rows[hit], w], fresh], axis=1)
+            self.best[rows[hit], w] = np.sort(both, axis=1)[:, : -self.k - 1 : -1]
         return scores
 
-    def outer(self, rows: np.ndarray) -> np.ndarray:
-        """Radius of each annulus, as shrunk by what has been found."""
+    def lowest(self, rows: np.ndarray) -> np.ndarray:
+        """The low ends of the windows, as raised by what has been found."""
         worst = self.best[rows, :, -1]
-        low = np.where(worst == _NONE, self.low[rows], np.maximum(self.low[rows], worst >> self.bits))
-        return _radius(self.squares[rows], low)
+        return np.where(worst == _NONE, self.low[rows], np.maximum(self.low[rows], worst >> self.bits))
 
     def visit(self, node: Node, rows: np.ndarray) -> None:
         scores = self.offer(rows, node.members)
@@ -212,14 +219,16 @@ class Search:
             return
         away = np.sqrt(np.maximum(0.0, self.squares[rows, None] - 2 * scores))
         least, most = node.ranges.bounds(away)
-        order = np.argsort(away, axis=1)
-        for nth in range(len(node.members)):
-            for j in np.unique(order[:, nth]):
-                if (child := node.children[j]) is None:
+        nearest = away.argmin(axis=1)
+        # each anchor's nearest subtree first, then the others, which its answer may rule out
+        for own in (True, False):
+            for j, child in enumerate(node.children):
+                at = np.flatnonzero((nearest == j) == own)
+                if child is None or not len(at):
                     continue
-                at = np.flatnonzero(order[:, nth] == j)
-                own = rows[at]
-                at = at[_meets(least[at, j], most[at, j], self.inner[own], self.outer(own), self.slack)]
+                sought = rows[at]
+                outer = _radius(self.squares[sought], self.lowest(sought))
+                at = at[_meets(least[at, j], most[at, j], self.inner[sought], outer, self.slack)]
                 if len(at):
                     self.visit(child, rows[at])
 
@@ -240,7 +249,7 @@ class Top:
     square: float
     points: np.ndarray
     ranges: Ranges | None = None
-    first: list[int] | None = None  # the first shard of each cell
+    first: list[int] | None = None  # the first shard of each cell, numbered over all lengths
     parts: list[int] | None = None  # how many it has
 
     def shards(self, vectors: np.ndarray, low: np.ndarray, high: np.ndarray, own: np.ndarray | None):
@@ -307,8 +316,10 @@ def _ranged(celled: DataFrame, tops: dict[int, Top], shard: int) -> None:
     for dim, cell, point, least, most, n in found.collect():  # at most CELLS ** 2 rows for each length
         tops[dim].ranges.least[point, cell], tops[dim].ranges.most[point, cell] = least, most
         tops[dim].parts[cell] = ceil(n / shard)
+    before = 0
     for top in tops.values():
-        top.first = (np.cumsum(top.parts) - top.parts).tolist()
+        top.first = (before + np.cumsum(top.parts) - top.parts).tolist()
+        before += sum(top.parts)
 
 
 def _shard_of(tops: dict[int, Top]) -> Column:
@@ -399,8 +410,8 @@ def _search(trees: DataFrame, asked: DataFrame, tasks: int, k: int, windows: int
     """What each shard finds for the anchors that were sent to it (asked, with shard)."""
     return (
         trees.unionByName(asked, allowMissingColumns=True)
-        .repartition(tasks, "dim", "shard")
-        .sortWithinPartitions("dim", "shard", F.desc_nulls_last("content"))
+        .repartitionById(tasks, "shard")  # a hash would put several shards into one task
+        .sortWithinPartitions("shard", F.desc_nulls_last("content"))
         .select("vec_id", "label", "vector", "low", "high", "content")
         .mapInArrow(_meet(k, windows, same), _MET)
     )
@@ -457,11 +468,9 @@ def mine(
     )
     _ranged(celled, tops, shard)
     placed = celled.select("vec_id", "label", "vector", "dim", _shard_of(tops).alias("shard"))
-    # an explicit number, or small tables would be put into few tasks
-    tasks = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sum(t.parts) for t in tops.values())))
-    trees = stored(
-        placed.repartition(tasks, "dim", "shard").groupBy("dim", "shard").applyInArrow(_trees(tops), _TREE)
-    )
+    # a task for each shard, up to some for each shuffle partition
+    tasks = min(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), sum(sum(t.parts) for t in tops.values()))
+    trees = stored(placed.groupBy("dim", "shard").applyInArrow(_trees(tops), _TREE))
     anchors = stored(placed.filter(F.col("vec_id") % every == 0))
 
     def routed(asked: DataFrame, windows: int, elsewhere: bool) -> DataFrame:
