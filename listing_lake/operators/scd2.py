@@ -178,7 +178,7 @@ def _expiring_pairs(
     )
 
 
-def _ended(
+def end_versions(
     rows: DataFrame, columns: list[str], day: Column, loaded_at: str, copies: str
 ) -> DataFrame:
     """Closes the rows that ``_copies`` batch rows end (NULL: none) at ``day``."""
@@ -225,7 +225,9 @@ def merge_open(
     pair = [*ids, tracked]
     open_pairs = open_versions.select(*pair).dropna().distinct()
     expiring = _expiring_pairs(open_pairs, incoming, ids, tracked)
-    judged = _ended(open_versions.join(expiring, pair, "left"), open_versions.columns, file_date, loaded_at, copies)
+    judged = end_versions(
+        open_versions.join(expiring, pair, "left"), open_versions.columns, file_date, loaded_at, copies
+    )
     new = incoming.join(open_pairs, pair, "left_anti").select(*open_versions.columns)
     return judged.unionByName(new)
 
@@ -342,7 +344,7 @@ def replay_open(
     for k in pair:
         unknown = unknown | F.col(k).isNull()
     met = rows.join(decided, same, "left").filter(F.col("_found") | (F.col("_batch") == 0) | unknown)
-    return _ended(met, columns, F.col("_ended"), loaded_at, copies)
+    return end_versions(met, columns, F.col("_ended"), loaded_at, copies)
 
 
 def replay(

@@ -421,6 +421,7 @@ FROM names""",
         "scd2_replay": _with(*replay, select=f"SELECT {GOLD_COLUMNS} FROM {final}"),
         "scd2_replay_fold": _with(*replay, select=f"SELECT {GOLD_COLUMNS} FROM {final}"),
         "stream_gold": _with(*store, select=f"SELECT {GOLD_COLUMNS} FROM {store_final}"),
+        "stream_gold_state": _with(*store, select=f"SELECT {GOLD_COLUMNS} FROM {store_final}"),
         "scd2_late_rebuild": _stream_late(),
         "stream_late": _stream_late(),
         "stream_silver": _with(SILVER, select=f"SELECT {SILVER_COLUMNS} FROM silver"),

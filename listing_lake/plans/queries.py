@@ -22,7 +22,7 @@ from listing_lake.session import stored, work_dir
 from listing_lake.sources import landing
 from listing_lake.sources import testdata as td
 from listing_lake.sources.lake import Lake
-from listing_lake.streaming import streams
+from listing_lake.streaming import history, streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -467,6 +467,19 @@ def _stream_gold(spark: SparkSession, sf: str) -> DataFrame:
     return lake.gold.read()
 
 
+def _stream_gold_state(spark: SparkSession, sf: str) -> DataFrame:
+    """Bulk history, then the later snapshots by a stream with keyed state, in two runs."""
+    gold, rest = _split_gold(spark, sf, STORE_SPLIT)
+    gold, rest = stored(gold), stored(rest.drop(*td.TIE_BREAK))
+    place, last = work_dir(spark, "versions"), rest.agg(F.max(DAY)).first()[0]
+    for part in (rest.filter(F.col(DAY) < last), rest.filter(F.col(DAY) == last)):
+        part.write.mode("append").parquet(f"{place}/silver")
+        history.stream_versions(spark, f"{place}/silver", f"{place}/events", f"{place}/position", gold)
+    events = spark.read.schema(history.EVENTS).parquet(f"{place}/events")
+    silver = rest.withColumn("file_hash", F.lit(None).cast("string"))
+    return history.history(gold, silver, events, td.LOADED_AT, PER_MATCH)
+
+
 def _stream_late(spark: SparkSession, sf: str) -> DataFrame:
     """Everything but one early snapshot is loaded; then that snapshot arrives.
 
@@ -675,6 +688,7 @@ def queries() -> dict[str, Query]:
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,
         "stream_gold": _stream_gold,
+        "stream_gold_state": _stream_gold_state,
         "stream_late": _stream_late,
         # lineage
         "lineage_unprocessed": _lineage_unprocessed,
