@@ -6,10 +6,10 @@ of the rows costs no more than any other.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from listing_lake import rules
@@ -198,3 +198,43 @@ def chain_breaks(gold: DataFrame, keys: Sequence[str]) -> DataFrame:
         ],
     )
     return by_start.withColumn("next_start", next_start).filter(~chained)
+
+
+# What holds for every row of Gold, whatever the feed: a row for which one is not true must not be published.
+EXPECTATIONS = {
+    "known_table": f"table_name IN {tuple(rules.GOLD_TABLES.values())}",
+    "has_a_start": "valid_from IS NOT NULL",
+    "open_versions_have_no_end": "NOT coalesce(is_current, false) OR valid_to IS NULL",
+    "closed_versions_have_an_end": "coalesce(is_current, false) OR valid_to IS NOT NULL",
+    "price_within_the_cap": f"price IS NULL OR price <= {rules.PRICE_CAP}",
+    "flagged_if_priced": "price IS NULL OR is_anomaly IS NOT NULL",
+}
+
+
+def _violations() -> list[Column]:
+    return [F.count_if(~F.coalesce(F.expr(holds), F.lit(False))).alias(name) for name, holds in EXPECTATIONS.items()]
+
+
+def expectations(gold: DataFrame) -> DataFrame:
+    """Rows that break each expectation, in one pass."""
+    counted = gold.agg(F.count(F.lit(1)).alias("_rows"), *_violations())
+    each = [F.struct(F.lit(name).alias("expectation"), F.col(name).alias("violations")) for name in EXPECTATIONS]
+    return counted.select("_rows", F.explode(F.array(*each)).alias("e")).select(
+        "e.expectation", "e.violations", F.col("_rows").alias("rows")
+    )
+
+
+def expected(rows: DataFrame) -> tuple[DataFrame, Callable[[], None]]:
+    """The rows, observed while they are written, and a check to call when they are.
+
+    The check raises an error if a row broke an expectation; it reads nothing.
+    """
+    observed = Observation()
+    watched = rows.observe(observed, *_violations())
+
+    def check() -> None:
+        broken = {name: n for name, n in observed.get.items() if n}
+        if broken:
+            raise ValueError(f"rows that break expectations: {broken}")
+
+    return watched, check

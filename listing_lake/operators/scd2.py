@@ -424,3 +424,34 @@ def as_of(gold: DataFrame, day: Column) -> DataFrame:
     return gold.filter(
         (F.col("valid_from") <= day) & (F.col("valid_to").isNull() | (F.col("valid_to") > day))
     )
+
+
+def as_of_join(
+    asked: DataFrame, versions: DataFrame, keys: Sequence[str], day: str, columns: Sequence[str]
+) -> DataFrame:
+    """``asked`` with the version of its key that was valid on its day: columns, valid_from, valid_to.
+
+    Versions and the distinct days of each key are put in one order, and a window
+    carries the last version on: no range join, and at most one row for each key
+    and day in the window, however often a key is asked for. What was found meets
+    the asked rows in an equi-join that Spark can split. Of versions that begin on
+    one day the largest counts. NULL keys and days, and days without a valid
+    version, get NULLs.
+    """
+    keys, shown = list(keys), [*columns, "valid_from", "valid_to"]
+    begun = versions.dropna(subset=[*keys, "valid_from"]).groupBy(*keys, F.col("valid_from").alias("_day")).agg(
+        F.max(F.struct("valid_from", "valid_to", *columns)).alias("_version")
+    )
+    days = asked.select(*keys, F.col(day).cast("date").alias("_day")).dropna().distinct()
+    order = Window.partitionBy(*keys).orderBy("_day", "_asked").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = (
+        begun.withColumn("_asked", F.lit(0))
+        .unionByName(days.withColumn("_asked", F.lit(1)), allowMissingColumns=True)
+        .withColumn("_version", F.last("_version", ignorenulls=True).over(order))
+        .filter("_asked = 1 AND (_version.valid_to IS NULL OR _version.valid_to > _day)")
+        .select(*[F.col(k).alias(f"_of_{k}") for k in keys], "_day", "_version")
+    )
+    same = F.col(day).cast("date") == F.col("_day")
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_of_{k}"))
+    return asked.join(found, same, "left").select(*asked.columns, *[F.col(f"_version.{c}").alias(c) for c in shown])

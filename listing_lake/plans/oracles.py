@@ -6,6 +6,8 @@ that engine's native functions, the merge is spelled as joins.
 
 from __future__ import annotations
 
+from listing_lake.operators.quality import EXPECTATIONS
+
 FEED = """
 feed AS (
   SELECT CAST(l_partkey AS VARCHAR) AS property_id,
@@ -430,6 +432,42 @@ FROM names""",
         "gold_city_lookup": _with(
             *SALES, select=f"SELECT {GOLD_COLUMNS} FROM sales WHERE city = 'NATION_7'"
         ),
+        "gold_as_of_join": """
+WITH daily AS (
+  SELECT user_id, CAST(ts AS DATE) AS day, value FROM events
+  QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id) = 1),
+points AS (
+  SELECT * FROM (SELECT *, lag(value) OVER (PARTITION BY user_id ORDER BY day) AS before FROM daily) AS d
+  WHERE before IS NULL OR before <> value),
+versions AS (
+  SELECT user_id, value, day AS valid_from, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS valid_to
+  FROM points),
+asked AS (
+  SELECT event_id, CASE WHEN event_id % 3 = 0 THEN 7 ELSE user_id END AS user_id,
+    CAST(ts AS DATE) - CAST(event_id % 5 AS INTEGER) AS asked
+  FROM events)
+SELECT a.event_id, a.user_id, a.asked, v.value, v.valid_from, v.valid_to
+FROM asked AS a ASOF LEFT JOIN versions AS v ON a.user_id = v.user_id AND a.asked >= v.valid_from""",
+        "gold_expectations": _with(
+            *ALL,
+            select=f"""SELECT e.expectation, CAST(count(*) FILTER (WHERE NOT coalesce(
+    CASE e.expectation
+      WHEN 'known_table' THEN table_name IN ('gold_sales', 'gold_rentals')
+      WHEN 'has_a_start' THEN valid_from IS NOT NULL
+      WHEN 'open_versions_have_no_end' THEN NOT is_current OR valid_to IS NULL
+      WHEN 'closed_versions_have_an_end' THEN is_current OR valid_to IS NOT NULL
+      WHEN 'price_within_the_cap' THEN price IS NULL OR price <= 500000000
+      ELSE price IS NULL OR is_anomaly IS NOT NULL END, FALSE)) AS BIGINT) AS violations, count(*) AS rows
+FROM gold CROSS JOIN (VALUES {", ".join(f"('{e}')" for e in EXPECTATIONS)}) AS e(expectation) GROUP BY e.expectation""",
+        ),
+        "lake_sql": _with(
+            *ALL,
+            select="""SELECT g.city, g.open_versions, g.closed_versions, s.silver_rows
+FROM (SELECT city, count(*) FILTER (WHERE is_current) AS open_versions,
+        count(*) FILTER (WHERE NOT is_current) AS closed_versions
+      FROM gold WHERE table_name = 'gold_rentals' GROUP BY city) AS g
+JOIN (SELECT city, count(*) AS silver_rows FROM silver GROUP BY city) AS s USING (city)""",
+        ),
         "gold_as_of_date": _with(
             *ALL,
             select=f"""SELECT {GOLD_COLUMNS} FROM gold

@@ -289,7 +289,7 @@ def _publish_bulk(lake: Lake, files: DataFrame, run_id: str | None, now: dt.date
     )
     try:
         history = scd2.bulk_history(lake.silver(dated), now.isoformat())
-        lake.gold.publish(history, BULK, now, file_hashes=dated)
+        _publish(lake, history, BULK, now, file_hashes=dated)
     except Exception as failure:
         lake.lineage.record(
             _gold_outcomes(dated, rules.FAILED, run_id, str(failure)).unionByName(undated), now
@@ -341,6 +341,12 @@ def _publish_in_order(
         raise failed[1]
 
 
+def _publish(lake: Lake, rows: DataFrame, mode: str, now: dt.datetime, *args, **options) -> None:
+    """Publishes rows that meet the expectations; they are watched while they are written."""
+    watched, check = quality.expected(rows)
+    lake.gold.publish(watched, mode, now, *args, check=check, **options)
+
+
 def merge_batch(
     lake: Lake,
     silver: DataFrame,
@@ -365,7 +371,7 @@ def merge_batch(
     merged = scd2.merge_open(
         scd2.current_rows(gold), incoming, F.lit(day), stamp, ids, copies=copies
     )
-    lake.gold.publish(merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
+    _publish(lake, merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
 
 
 def merge_batches(
@@ -389,7 +395,7 @@ def merge_batches(
         scd2.current_rows(lake.gold.read()), incoming, stamp, ("table_name", *scd2.MERGE_KEYS),
         copies=copies, steps=["valid_from", *steps],
     )
-    lake.gold.publish(merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
+    _publish(lake, merged, MERGE, now, file_hashes, batch_key, keeps_closed=True)
 
 
 def _rebuild_and_merge(
@@ -421,7 +427,7 @@ def _rebuild_and_merge(
     # the merge reads it several times
     rebuilt = stored(scd2.rebuild_late(gold, lake.silver(), late_ids, stamp, ids))
     merged = scd2.merge(rebuilt, on_time, F.lit(day), stamp, ids, copies=copies)
-    lake.gold.publish(merged, REBUILD, now, file_hashes, batch_key)
+    _publish(lake, merged, REBUILD, now, file_hashes, batch_key)
 
 
 # ------------------------------------------------------------------ export

@@ -436,6 +436,38 @@ def _gold_empty_bootstrap(spark: SparkSession, sf: str) -> DataFrame:
     return lake.gold.read()
 
 
+def _lake_sql(spark: SparkSession, sf: str) -> DataFrame:
+    """Reads Silver and Gold of a lake by SQL."""
+    lake, silver = Lake(spark, work_dir(spark, "lake")), stored(td.silver(spark, sf))
+    lake.write_silver(
+        silver.drop(*td.TIE_BREAK).withColumn("file_hash", F.sha2(F.col(DAY).cast("string"), 256))
+    )
+    lake.gold.publish(_history(silver), pipeline.BULK, NOW)
+    lake.register_views("lake")
+    return spark.sql("""
+        SELECT g.city, g.open_versions, g.closed_versions, s.silver_rows
+        FROM (SELECT city, count_if(is_current) AS open_versions, count_if(NOT is_current) AS closed_versions
+              FROM lake_gold_rentals GROUP BY city) AS g
+        JOIN (SELECT city, count(*) AS silver_rows FROM lake_silver GROUP BY city) AS s ON g.city = s.city""")
+
+
+def _event_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """History of each user's value, one row a day."""
+    events = td.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    return scd2.timeline(events, ["user_id"], "day", "value", ["event_id"])
+
+
+def _gold_as_of_join(spark: SparkSession, sf: str) -> DataFrame:
+    """For each event, its user's value as it was some days before; the ids are skewed."""
+    user = F.when(F.col("event_id") % 3 == 0, 7).otherwise(F.col("user_id"))
+    asked = td.table(spark, sf, "events").select(
+        "event_id",
+        user.cast("long").alias("user_id"),
+        F.date_sub(F.col("ts").cast("date"), (F.col("event_id") % 5).cast("int")).alias("asked"),
+    )
+    return scd2.as_of_join(asked, _event_versions(spark, sf), ["user_id"], "asked", ["value"])
+
+
 # ---------------------------------------------------------------- streams
 
 
@@ -662,6 +694,8 @@ def queries() -> dict[str, Query]:
             (F.col("table_name") == "gold_sales") & (F.col("city") == "NATION_7")
         ),
         "gold_as_of_date": _of(_gold, lambda gold: scd2.as_of(gold, F.lit("1998-06-15"))),
+        "gold_as_of_join": _gold_as_of_join,
+        "gold_expectations": _of(_gold, quality.expectations),
         "gold_table_counts": _of(_gold, quality.table_counts),
         "gold_anomaly_counts": _of(_gold, quality.anomaly_counts),
         "gold_null_profile": _of(_sales, quality.null_profile),
@@ -684,6 +718,7 @@ def queries() -> dict[str, Query]:
         "gold_rollback": _gold_rollback,
         "gold_mode_selection": _gold_mode_selection,
         "gold_empty_bootstrap": _gold_empty_bootstrap,
+        "lake_sql": _lake_sql,
         # streams
         "stream_bronze": _stream_bronze,
         "stream_silver": _stream_silver,

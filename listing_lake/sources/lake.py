@@ -16,7 +16,7 @@ from pyspark.sql.types import BooleanType, DateType, StringType, StructField, St
 
 from listing_lake import schemas
 from listing_lake.sources import commits
-from listing_lake.sources.gold_store import GoldStore
+from listing_lake.sources.gold_store import TABLES, GoldStore
 from listing_lake.sources.lineage_table import LineageTable
 
 BRONZE_ON_DISK = StructType(
@@ -131,6 +131,21 @@ class Lake:
     def write_silver(self, rows: DataFrame) -> None:
         _replace_partitions(rows, self.silver_dir, "snapshot_date", "file_hash")
 
+    # ------------------------------------------------------------ SQL
+
+    def register_views(self, prefix: str = "lake") -> list[str]:
+        """Temporary views of the session over the lake as it is now; returns their names."""
+        views = {
+            "bronze": self.bronze(),
+            "quarantine": self.quarantine(),
+            "silver": self.silver(),
+            "lineage": self.lineage.read(),
+            **{table: self.gold.read(table) for table in TABLES},
+        }
+        for name, rows in views.items():
+            rows.createOrReplaceTempView(f"{prefix}_{name}")
+        return [f"{prefix}_{name}" for name in views]
+
     # ------------------------------------------------------------ files
 
     def _stored(self, root: str, outer: str, schema: StructType) -> DataFrame | None:

@@ -340,3 +340,22 @@ def test_a_city_read_touches_its_folders_only(lake, now):
     filters = plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
     assert "Lahore" in filters and "gold_sales" in filters and "is_current" in filters
     assert scd2.current_rows(lake.gold.read()).count() == 2
+
+
+def test_rows_that_break_an_expectation_are_not_published(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    run_all(lake, now)
+    before = versions(lake)
+    bad = lake.gold.read().withColumn("valid_to", F.lit(day(2)))  # open, yet ended
+    with pytest.raises(ValueError, match="open_versions_have_no_end"):
+        pipeline._publish(lake, bad, pipeline.MERGE, now, keeps_closed=True)
+    assert versions(lake) == before and lake.gold.log().agg(F.max("version")).first()[0] == 1
+
+
+def test_views_over_the_lake(lake, now):
+    put(lake, "a_2025-03-01.csv", line(1, 200000))
+    run_all(lake, now)
+    assert "mine_gold_sales" in lake.register_views("mine")
+    found = lake.spark.sql("SELECT s.price FROM mine_gold_sales g JOIN mine_silver s ON g.property_id = s.property_id")
+    assert [r.price for r in found.collect()] == [200000]
+    assert lake.spark.sql("SELECT * FROM mine_lineage").count() == 3

@@ -271,3 +271,23 @@ def test_as_of(spark):
     assert rows(scd2.as_of(gold, F.lit(D1)), "price") == [(1,)]
     assert rows(scd2.as_of(gold, F.lit(D2)), "price") == [(2,)]
     assert rows(scd2.as_of(gold, F.lit(dt.date(2024, 1, 1))), "price") == []
+
+
+def test_as_of_join_against_a_scan(spark):
+    rng, days = random.Random(21), [D1 + dt.timedelta(days=n) for n in range(12)]
+    feed = [(rng.choice([0, 0, 1, 2, None]), rng.choice(days), rng.choice([1, 2, 3]), n) for n in range(150)]
+    df = spark.createDataFrame(feed, "id long, day date, price long, tie long")
+    versions = scd2.timeline(df, ["id"], "day", "price", ["tie"]).filter("id IS NULL OR price != 3")
+    # one id is asked for most of the time, also on equal days
+    asked = [(n, rng.choice([0, 0, 0, 1, 2, 9, None]), rng.choice([*days, None])) for n in range(300)]
+    frame = spark.createDataFrame(asked, "nth long, id long, at date")
+    found = {r.nth: (r.price, r.valid_from, r.valid_to) for r in scd2.as_of_join(frame, versions, ["id"], "at", ["price"]).collect()}
+    held = versions.collect()
+    for nth, i, at in asked:
+        fits = [
+            (v.price, v.valid_from, v.valid_to)
+            for v in held
+            if None not in (i, at) and v.id == i and v.valid_from <= at and (v.valid_to is None or v.valid_to > at)
+        ]
+        assert found[nth] == (fits[0] if fits else (None, None, None)) and len(fits) < 2
+    assert len(found) == len(asked)
