@@ -222,7 +222,8 @@ def keep_one(docs: DataFrame) -> DataFrame:
     rooted = stored(
         rows.filter("doc_id IS NOT NULL").join(own, rows["fp"] == own["own_fp"]).select("doc_id", "version", "root")
     )
-    kept = rooted.groupBy("root").agg(F.min(F.struct("doc_id", "version")).alias("kept"))
+    # written, so that Spark can split the join at the root of a large group
+    kept = stored(rooted.groupBy("root").agg(F.min(F.struct("doc_id", "version")).alias("kept")))
     dropped = (
         rooted.join(kept, "root")
         .filter(F.struct("doc_id", "version") != F.col("kept"))
