@@ -1,15 +1,19 @@
 """Line deduplication by a log-template tree, in DataFrame functions only.
 
 Each line follows a fixed-depth path: its number of tokens, then its ``LEADING``
-first tokens, with runs of digits replaced by 0. Below that path a template keeps
-all tokens but those of one variable field: the rest of the line is cut into
+first tokens. Tokens that hold a digit (numbers, addresses, identifiers) are
+variable wherever they stand and are masked. Below that path a template keeps
+all other tokens but those of one further field: the rest of the line is cut into
 ``FIELDS`` segments, and there is a template for each segment left out. Lines of
-fewer than ``FIELDED`` tokens have one template, without a variable field, and
-lines of fewer than ``SHORTEST`` tokens none: they are too short to tell.
+fewer than ``FIELDED`` tokens have one template, without such a field. Where more
+than half of a line would be masked, only the digits are, not the tokens.
 
-A template recurs if lines of different documents have it. Its lines are dropped
-from all documents but the one with the smallest id, so that a passage stays once
-and exact copies of a document do not all become empty.
+A template recurs if lines of different documents have it. Brief lines (fewer than
+``BRIEF`` tokens and ``BRIEF_CHARS`` characters) meet by chance and recur from
+``BRIEF_DOCS`` documents on; characters count beside tokens since some scripts write
+no blanks. Recurring lines are dropped from all documents but the one with the
+smallest id, so that a passage stays once and exact copies of a document do not all
+become empty. Lines without a token have no template.
 
 Only hashes of templates are shuffled and counted, with map-side aggregation;
 the join back to the lines is one that Spark can split at a hot template. Texts
@@ -29,12 +33,22 @@ from listing_lake.session import stored
 
 LEADING = 2
 FIELDS = 4
-SHORTEST = 5
 FIELDED = 12
+BRIEF, BRIEF_CHARS, BRIEF_DOCS = 5, 20, 20
+
+MASK = "0"
+#: A token with a digit, from its first character on; no step back, whatever its length.
+_VARIABLE = "(?<![^ \\t\\r])[^0-9 \\t\\r]*+[0-9][^ \\t\\r]*+"
+
+
+def _split(line: Column) -> Column:
+    return F.array_remove(F.split(F.translate(line, "\t\r", "  "), " "), "")
 
 
 def tokens_of(line: Column) -> Column:
-    return F.array_remove(F.split(F.regexp_replace(line, "[0-9]+", "0"), "[ \\t\\r]+"), "")
+    masked = _split(F.regexp_replace(line, _VARIABLE, MASK))
+    mostly = F.size(F.array_remove(masked, MASK)) * 2 < F.size(masked)
+    return F.when(mostly, _split(F.regexp_replace(line, "[0-9]+", MASK))).otherwise(masked)
 
 
 def _templates(tokens: Column, n: Column) -> Column:
@@ -52,27 +66,45 @@ def _templates(tokens: Column, n: Column) -> Column:
 
 
 def templates(docs: DataFrame) -> DataFrame:
-    """(doc_id, version, line, templates) for each line of docs (doc_id, text) that has any.
+    """(doc_id, version, line, brief, templates) for each line of docs (doc_id, text) that has any.
 
     version is a hash of the text; rows that share an id may differ in it.
     """
     lines = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
         "doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("line", "said")
     )
-    tokens = lines.select("doc_id", "version", "line", tokens_of(F.col("said")).alias("tokens"))
-    sized = tokens.select("*", F.size("tokens").alias("n")).filter(F.col("n") >= SHORTEST)
-    return sized.select("doc_id", "version", "line", _templates(F.col("tokens"), F.col("n")).alias("templates"))
+    sized = lines.withColumn("tokens", tokens_of(F.col("said"))).withColumn("n", F.size("tokens")).filter("n > 0")
+    return sized.select(
+        "doc_id",
+        "version",
+        "line",
+        ((F.col("n") < BRIEF) & (F.length("said") < BRIEF_CHARS)).alias("brief"),
+        _templates(F.col("tokens"), F.col("n")).alias("templates"),
+    )
 
 
 def recurring(lines: DataFrame) -> DataFrame:
-    """(shared, first_doc) of every template that lines of different documents have."""
-    return (
-        lines.select("doc_id", F.explode("templates").alias("template"))
+    """(shared, first_doc, of_brief) of every template that lines of enough documents have."""
+    said = lines.select("doc_id", "brief", F.explode("templates").alias("template"))
+    long = (
+        said.filter("NOT brief")
         .groupBy("template")
         .agg(F.min("doc_id").alias("first_doc"), F.max("doc_id").alias("last_doc"))
         .filter("first_doc != last_doc")
-        .select(F.col("template").alias("shared"), "first_doc")
     )
+    brief = (
+        said.filter("brief")
+        .select("template", "doc_id")
+        .distinct()
+        .groupBy("template")
+        .agg(F.min("doc_id").alias("first_doc"), F.count("*").alias("docs"))
+        .filter(F.col("docs") >= BRIEF_DOCS)
+    )
+    found = [
+        kind.select(F.col("template").alias("shared"), "first_doc", F.lit(flag).alias("of_brief"))
+        for kind, flag in ((long, False), (brief, True))
+    ]
+    return found[0].union(found[1])
 
 
 def _without(lines: Column, dropped: Column) -> Column:
@@ -85,6 +117,10 @@ def _without(lines: Column, dropped: Column) -> Column:
     return F.array_join(F.flatten(kept), "\n")
 
 
+def _line_count(text: Column) -> Column:
+    return F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+
+
 def _named(docs: DataFrame, column: str) -> Column:
     """A column by its whole name, dots and all."""
     return docs["`" + column.replace("`", "``") + "`"]
@@ -96,8 +132,8 @@ def drop_recurring(docs: DataFrame, n_lines: str = "n_lines", n_dropped: str = "
     hashed = stored(templates(slim))
     shared = stored(recurring(hashed))
     dropped = (
-        hashed.select("doc_id", "version", "line", F.explode("templates").alias("template"))
-        .join(shared, F.col("template") == F.col("shared"))
+        hashed.select("doc_id", "version", "line", "brief", F.explode("templates").alias("template"))
+        .join(shared, (F.col("template") == F.col("shared")) & (F.col("brief") == F.col("of_brief")))
         .filter("doc_id > first_doc")
         .groupBy(F.col("doc_id").alias("of_doc"), F.col("version").alias("of_version"))
         .agg(F.sort_array(F.collect_set("line")).alias("dropped_lines"))
@@ -113,7 +149,7 @@ def drop_recurring(docs: DataFrame, n_lines: str = "n_lines", n_dropped: str = "
     return found.select(
         *columns,
         F.when(numbers.isNull(), text).otherwise(_without(lines, numbers)).alias("text"),
-        F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long").alias(n_lines),
+        F.when(text.isNull(), 0).otherwise(_line_count(text)).cast("long").alias(n_lines),
         F.coalesce(F.size(numbers), F.lit(0)).cast("long").alias(n_dropped),
     )
 
@@ -123,26 +159,28 @@ WITH said AS (
   SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line,
          unnest(string_split(text, chr(10))) AS said
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+words AS (
+  SELECT *, list_filter(regexp_split_to_array(said, '[ \\t\\r]'), lambda x: x <> '') AS w FROM said),
 tokens AS (
-  SELECT doc_id, text, line,
-         list_filter(regexp_split_to_array(regexp_replace(said, '[0-9]+', '0', 'g'), '[ \\t\\r]+'),
-                     lambda x: x <> '') AS t
-  FROM said),
+  SELECT doc_id, text, line, len(w) AS n, len(w) < {BRIEF} AND length(said) < {BRIEF_CHARS} AS brief,
+    CASE WHEN len(list_filter(w, lambda x: NOT regexp_matches(x, '[0-9]'))) * 2 < len(w)
+         THEN list_transform(w, lambda x: regexp_replace(x, '[0-9]+', '{MASK}', 'g'))
+         ELSE list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{MASK}' ELSE x END) END AS t
+  FROM words WHERE len(w) > 0),
 fielded AS (
-  SELECT doc_id, text, line, t, len(t) AS n,
-         unnest(CASE WHEN len(t) < {FIELDED} THEN [-1] ELSE range({FIELDS}) END) AS j
-  FROM tokens WHERE len(t) >= {SHORTEST}),
+  SELECT *, unnest(CASE WHEN n < {FIELDED} THEN [-1] ELSE range({FIELDS}) END) AS j FROM tokens),
 templates AS (
-  SELECT doc_id, text, line, n, j,
+  SELECT doc_id, text, line, brief, n, j,
     CASE WHEN j < 0 THEN t ELSE t[1:{LEADING} + ((n - {LEADING}) * j) // {FIELDS}] END AS head,
     CASE WHEN j < 0 THEN [] ELSE t[{LEADING} + ((n - {LEADING}) * (j + 1)) // {FIELDS} + 1:] END AS rest
   FROM fielded),
 recurring AS (
-  SELECT n, j, head, rest, min(doc_id) AS first_doc FROM templates
-  GROUP BY n, j, head, rest HAVING min(doc_id) <> max(doc_id)),
+  SELECT brief, n, j, head, rest, min(doc_id) AS first_doc FROM templates
+  GROUP BY brief, n, j, head, rest
+  HAVING count(DISTINCT doc_id) >= CASE WHEN brief THEN {BRIEF_DOCS} ELSE 2 END),
 dropped AS (
   SELECT doc_id, text, list(DISTINCT line) AS numbers
-  FROM templates JOIN recurring USING (n, j, head, rest)
+  FROM templates JOIN recurring USING (brief, n, j, head, rest)
   WHERE doc_id > first_doc GROUP BY doc_id, text)
 SELECT d.doc_id,
   CASE WHEN x.numbers IS NULL THEN d.text ELSE coalesce(array_to_string(list_filter(
