@@ -1,15 +1,14 @@
 """Line deduplication by a log-template tree, in DataFrame functions only.
 
 Each line follows a fixed-depth path: its number of tokens, then its ``LEADING``
-first tokens. Tokens that hold a digit (numbers, addresses, identifiers) are
-variable wherever they stand and are masked. Below that path a template keeps
-all other tokens but those of one further field: the rest of the line is cut into
-``FIELDS`` segments, and there is a template for each segment left out. Lines of
-fewer than ``FIELDED`` tokens have one template, without such a field. Where more
-than half of a line would be masked, only the digits are, not the tokens.
+first tokens. A token is variable from its first digit on, wherever it stands, so
+that numbers, addresses and numbered names are the same in all lines. Below that
+path a template keeps all tokens but those of one further field: the rest of the
+line is cut into ``FIELDS`` segments, and there is a template for each segment left
+out. Lines of fewer than ``FIELDED`` tokens have one template, without such a field.
 
 A template recurs if lines of different documents have it. Brief lines (fewer than
-``BRIEF`` tokens and ``BRIEF_CHARS`` characters) meet by chance and recur from
+``BRIEF`` tokens and ``BRIEF_CHARS`` characters, digits cut) meet by chance and recur from
 ``BRIEF_DOCS`` documents on; characters count beside tokens since some scripts write
 no blanks. Recurring lines are dropped from all documents but the one with the
 smallest id, so that a passage stays once and exact copies of a document do not all
@@ -36,19 +35,15 @@ FIELDS = 4
 FIELDED = 12
 BRIEF, BRIEF_CHARS, BRIEF_DOCS = 5, 20, 20
 
-MASK = "0"
-#: A token with a digit, from its first character on; no step back, whatever its length.
-_VARIABLE = "(?<![^ \\t\\r])[^0-9 \\t\\r]*+[0-9][^ \\t\\r]*+"
+#: A token from its first digit on, and what stands for it.
+VARIABLE, MASK = "[0-9][^ \\t\\r\\n]*+", "0"
 
 
-def _split(line: Column) -> Column:
-    return F.array_remove(F.split(F.translate(line, "\t\r", "  "), " "), "")
-
-
-def tokens_of(line: Column) -> Column:
-    masked = _split(F.regexp_replace(line, _VARIABLE, MASK))
-    mostly = F.size(F.array_remove(masked, MASK)) * 2 < F.size(masked)
-    return F.when(mostly, _split(F.regexp_replace(line, "[0-9]+", MASK))).otherwise(masked)
+def masked(text: Column) -> Column:
+    """The text with blanks for tabs and returns, and without the variable parts of tokens."""
+    for blank in "\t\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.regexp_replace(text, VARIABLE, MASK)
 
 
 def _templates(tokens: Column, n: Column) -> Column:
@@ -71,9 +66,10 @@ def templates(docs: DataFrame) -> DataFrame:
     version is a hash of the text; rows that share an id may differ in it.
     """
     lines = docs.filter("doc_id IS NOT NULL AND text IS NOT NULL").select(
-        "doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split("text", "\n")).alias("line", "said")
+        "doc_id", F.xxhash64("text").alias("version"), F.posexplode(F.split(masked(F.col("text")), "\n")).alias("line", "said")
     )
-    sized = lines.withColumn("tokens", tokens_of(F.col("said"))).withColumn("n", F.size("tokens")).filter("n > 0")
+    tokens = lines.filter(F.trim("said") != "").withColumn("tokens", F.array_remove(F.split("said", " "), ""))
+    sized = tokens.withColumn("n", F.size("tokens"))
     return sized.select(
         "doc_id",
         "version",
@@ -159,14 +155,14 @@ WITH said AS (
   SELECT doc_id, text, unnest(range(len(string_split(text, chr(10))))) AS line,
          unnest(string_split(text, chr(10))) AS said
   FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
-words AS (
-  SELECT *, list_filter(regexp_split_to_array(said, '[ \\t\\r]'), lambda x: x <> '') AS w FROM said),
+masked AS (
+  SELECT doc_id, text, line,
+         regexp_replace(regexp_replace(said, '[\\t\\r]', ' ', 'g'), '[0-9][^ ]*', '{MASK}', 'g') AS said
+  FROM said),
+split AS (
+  SELECT *, list_filter(string_split(said, ' '), lambda x: x <> '') AS t FROM masked),
 tokens AS (
-  SELECT doc_id, text, line, len(w) AS n, len(w) < {BRIEF} AND length(said) < {BRIEF_CHARS} AS brief,
-    CASE WHEN len(list_filter(w, lambda x: NOT regexp_matches(x, '[0-9]'))) * 2 < len(w)
-         THEN list_transform(w, lambda x: regexp_replace(x, '[0-9]+', '{MASK}', 'g'))
-         ELSE list_transform(w, lambda x: CASE WHEN regexp_matches(x, '[0-9]') THEN '{MASK}' ELSE x END) END AS t
-  FROM words WHERE len(w) > 0),
+  SELECT *, len(t) AS n, len(t) < {BRIEF} AND length(said) < {BRIEF_CHARS} AS brief FROM split WHERE len(t) > 0),
 fielded AS (
   SELECT *, unnest(CASE WHEN n < {FIELDED} THEN [-1] ELSE range({FIELDS}) END) AS j FROM tokens),
 templates AS (
