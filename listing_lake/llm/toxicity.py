@@ -14,9 +14,11 @@ words, so their share and the length count too. A logistic calibration turns
 these figures into a score; it is fitted on labelled rows that took no part in
 the counts.
 
-Words are hashed to ``2 ** HASH_BITS`` slots, so the model has a fixed largest
-size. At most about ``LABELS`` labelled rows are learned from (a hash of the id
-chooses them); everything else covers all rows. Labels of held-out documents
+Words are counted by 64-bit hashes, so that no two words share a count. A word that
+no labelled text has is as likely in both classes up to a constant, so the
+model holds the words of the labelled texts only, 12 bytes each. At most about
+``LABELS`` labelled rows are learned from (a hash of the id chooses them);
+everything else covers all rows. Labels of held-out documents
 (crc32 of the id mod 4 is 2) are never read.
 
 Null texts count as empty; texts without words get the score of a text with no
@@ -28,12 +30,13 @@ Repeated rows each get a row; an empty table gives none.
 from __future__ import annotations
 
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -41,21 +44,24 @@ from listing_lake.llm.calibration import Logistic
 from listing_lake.llm.common import bounded, held_out, slices
 from listing_lake.session import stored
 
-HASH_BITS = 22
+#: The share of one document that a word never seen gets.
+UNSEEN = 2.0**-22
 LABELS = 1_000_000
 WINDOW = 25
 CUTOFF = 0.3
 #: Log-ratio from which a word is telling.
 TELLING = 4.0
-#: Words a worker remembers, and distinct slots it counts before it hands them on.
+#: Words a worker remembers, and distinct words it counts before it hands them on.
 REMEMBERED, COUNTED = 500_000, 1_000_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 FEATURES = ("mean", "passage", "word", "three", "six", "distinct", "telling", "length")
 
 
-def _slot(word: str) -> int:
-    return zlib.crc32(word.encode()) & ((1 << HASH_BITS) - 1)
+def _key(word: str) -> int:
+    """A signed 64-bit hash."""
+    key = xxhash.xxh64_intdigest(word)
+    return key - (key >> 63 << 64)
 
 
 def words_of(text: str | None) -> list[str]:
@@ -63,19 +69,19 @@ def words_of(text: str | None) -> list[str]:
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words of each class and documents of each word, one row for each slot."""
+    """Words of each class and documents of each word, one row for each hash."""
     ordinary, toxic, held = Counter(), Counter(), Counter()
 
     def out() -> pa.RecordBatch:
         table: dict[int, list[int]] = {}
         for place, counter in enumerate((ordinary, toxic, held)):
             for word, n in counter.items():
-                table.setdefault(_slot(word), [0, 0, 0])[place] += n
+                table.setdefault(_key(word), [0, 0, 0])[place] += n
             counter.clear()
         values = np.array(list(table.values()), np.int64).reshape(-1, 3)
         return pa.RecordBatch.from_arrays(
             [pa.array(list(table), pa.int64()), *(pa.array(values[:, i]) for i in range(3))],
-            ["slot", "ordinary", "toxic", "held"],
+            ["word", "ordinary", "toxic", "held"],
         )
 
     for part in slices(batches):
@@ -89,9 +95,16 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield out()
 
 
-def _ratios(counts: DataFrame) -> tuple[float, np.ndarray]:
-    """Log-ratio of the class probabilities by slot; first for an unseen word."""
-    sums = ["count(*) AS slots", "sum(held) AS held"]
+class Ratios(NamedTuple):
+    """Log-ratios of the class probabilities beside sorted hashes of their words; one for all other words."""
+
+    words: np.ndarray
+    ratios: np.ndarray
+    unseen: float
+
+
+def _ratios(counts: DataFrame) -> Ratios:
+    sums = ["sum(held) AS held"]
     for c in ("ordinary", "toxic"):
         sums += [
             f"sum({c}) AS {c}_n",
@@ -101,21 +114,22 @@ def _ratios(counts: DataFrame) -> tuple[float, np.ndarray]:
         ]
     total = counts.agg(*map(F.expr, sums)).first().asDict()
     if not total["ordinary_n"] or not total["toxic_n"]:
-        return 0.0, np.zeros(1 << HASH_BITS, np.float32)
-    # one more document is spread over all slots, for words never seen
-    backoff = (F.col("held") + 2.0**-HASH_BITS) / float(total["held"] + 1)
+        return Ratios(np.empty(0, np.int64), np.empty(0, np.float32), 0.0)
+    # one more document is spread over words never seen
+    backoff = (F.col("held") + UNSEEN) / float(total["held"] + 1)
 
     def probability(c: str):
         own = F.greatest(F.col(c) - _discount(total, c), F.lit(0.0)) / float(total[f"{c}_n"])
         return own + backoff * _weight(total, c)
 
     ratio = F.log(probability("toxic") / probability("ordinary"))
-    # at most 2 ** HASH_BITS rows of 12 bytes
-    found = counts.select(F.col("slot").cast("int"), ratio.cast("float").alias("ratio")).toArrow()
+    # the words of at most about LABELS texts, 12 bytes each
+    labelled = counts.filter("ordinary > 0 OR toxic > 0")
+    found = labelled.select("word", ratio.cast("float").alias("ratio")).toArrow()
+    words, ratios = found.column("word").to_numpy(), found.column("ratio").to_numpy()
+    order = np.argsort(words)
     unseen = np.log(_weight(total, "toxic") / _weight(total, "ordinary"))
-    table = np.full(1 << HASH_BITS, unseen, np.float32)
-    table[found.column("slot").to_numpy()] = found.column("ratio").to_numpy()
-    return float(unseen), table
+    return Ratios(words[order], ratios[order], float(unseen))
 
 
 def _discount(total: dict, c: str) -> float:
@@ -131,12 +145,14 @@ def _weight(total: dict, c: str) -> float:
 class _Known(dict):
     """Word -> log-ratio, remembered up to a bound."""
 
-    def __init__(self, table: np.ndarray):
+    def __init__(self, model: Ratios):
         super().__init__()
-        self.table = table
+        self.model = model
 
     def __missing__(self, word: str) -> float:
-        value = float(self.table[_slot(word)])
+        words, key = self.model.words, np.int64(_key(word))
+        at = int(words.searchsorted(key))
+        value = float(self.model.ratios[at]) if at < len(words) and words[at] == key else self.model.unseen
         if len(self) >= REMEMBERED:
             self.clear()
         self[word] = value
@@ -165,9 +181,9 @@ def figures(words: list[str], known: dict[str, float]) -> tuple[float, ...]:
     )
 
 
-def _measure(table):
+def _measure(model):
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _Known(table.value)
+        known = _Known(model.value)
         for part in slices(batches):
             found = [figures(words_of(text), known) for text in part.column(0).to_pylist()]
             values = np.array(found, float).reshape(-1, len(FEATURES))
@@ -222,11 +238,11 @@ def _scored(docs: DataFrame, labels: DataFrame, cutoff: float = CUTOFF) -> DataF
     )
     counts = stored(
         rows.select("text", F.when(~F.col("aside"), F.col("toxic")).alias("toxic"))
-        .mapInArrow(_count, "slot long, ordinary long, toxic long, held long")
-        .groupBy("slot")
+        .mapInArrow(_count, "word long, ordinary long, toxic long, held long")
+        .groupBy("word")
         .agg(F.sum("ordinary").alias("ordinary"), F.sum("toxic").alias("toxic"), F.sum("held").alias("held"))
     )
-    _, ratios = _ratios(counts)
+    ratios = _ratios(counts)
     shape = ", ".join(f"{name} double" for name in FEATURES)
     measured = stored(
         rows.select("text", "doc_id", "version", "held_out", F.when(F.col("aside"), F.col("toxic")).alias("toxic")).mapInArrow(

@@ -14,9 +14,10 @@ DOCS, LABELS = "doc_id long, text string, toxic int, slot int", "doc_id long, to
 def test_ratio_is_kneser_ney(spark):
     texts = [("good day good people", 0), ("good bad day", 0), ("bad bad fool", 1), ("fool day one", 1), ("rare", None)]
     frame = spark.createDataFrame(texts, "text string, toxic int")
-    counts = frame.mapInArrow(tox._count, "slot long, ordinary long, toxic long, held long").groupBy("slot").sum()
-    counts = stored(counts.toDF("slot2", "slot", "ordinary", "toxic", "held").selectExpr("slot2 AS slot", "ordinary", "toxic", "held"))
-    unseen, table_ = tox._ratios(counts)
+    counts = frame.mapInArrow(tox._count, "word long, ordinary long, toxic long, held long").groupBy("word").sum()
+    counts = stored(counts.toDF("word2", "word", "ordinary", "toxic", "held").selectExpr("word2 AS word", "ordinary", "toxic", "held"))
+    model = tox._ratios(counts)
+    known = tox._Known(model)
     words = [[w for t, y in texts if y == c for w in t.split()] for c in (0, 1)]
     held = [w for t, _ in texts for w in set(t.split())]
 
@@ -24,12 +25,24 @@ def test_ratio_is_kneser_ney(spark):
         n = {w: words[c].count(w) for w in words[c]}
         once, twice = (sum(v == k for v in n.values()) for k in (1, 2))
         d = once / (once + 2 * twice)
-        shared = (held.count(word) + 2.0**-tox.HASH_BITS) / (len(held) + 1)
+        shared = (held.count(word) + tox.UNSEEN) / (len(held) + 1)
         return max(n.get(word, 0) - d, 0) / len(words[c]) + d * len(n) / len(words[c]) * shared
 
     for word in set(held):
-        assert math.isclose(table_[tox._slot(word)], math.log(p(word, 1) / p(word, 0)), rel_tol=1e-5)
-    assert math.isclose(unseen, math.log(p("never", 1) / p("never", 0)), rel_tol=1e-5)
+        assert math.isclose(known[word], math.log(p(word, 1) / p(word, 0)), rel_tol=1e-5)
+    assert math.isclose(known["never"], math.log(p("never", 1) / p("never", 0)), rel_tol=1e-5)
+    labelled = {w for side in words for w in side}
+    assert len(model.words) == len(labelled)  # "rare" has no label, and the ratio of words never seen
+    assert math.isclose(known["rare"], model.unseen) and "rare" not in labelled
+
+
+def test_no_two_words_share_a_count(spark):
+    """Many more words than a table of 2 ** 22 slots could tell apart in pairs."""
+    many = [f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}{chr(97 + i // 17576)}" for i in range(26**3)]
+    frame = spark.createDataFrame([(" ".join(many), 1), ("plain", 0)], "text string, toxic int")
+    counts = frame.mapInArrow(tox._count, "word long, ordinary long, toxic long, held long")
+    assert counts.count() == len(set(many)) + 1 and counts.groupBy().max("toxic", "held").first()[:] == (1, 1)
+    assert all(-(1 << 63) <= tox._key(w) < 1 << 63 for w in many)
 
 
 def test_held_out_precision_and_recall(spark):
