@@ -1,18 +1,29 @@
-"""Benchmark passages in documents, found by the pieces that edits leave whole.
+"""Benchmark passages in documents, found by CGK embedding and bit-sampling LSH.
 
 Texts are sequences of lower-cased words. An item of n words counts as found if
 d = floor(``DISTANCE`` * n) word edits or fewer turn it into some part of a
-document. The item is cut into d + 1 pieces from end to end, of lengths that
-differ by one word at most. d edits touch d pieces at most, so one piece at least
-stands unchanged in the document, d words at most away from its own place: a
-look-up of every piece at every word of the documents proposes every pair that
-the verifier accepts, wherever its edits are. Nothing is left to chance.
+document. Windows are sized to the item (``SIZES``); items have one at every word
+that leaves room for it, documents one at every word. A window of w words is
+embedded by the CGK random walk of w steps: at step j the walk shows the word it
+stands on and moves on if random bit j of that word is set, so that after an
+insertion or a deletion two walks soon stand on the same words again, and edit
+distance becomes Hamming distance. A repetition has its own random bits and samples
+a few steps; windows that show the same words there are candidates. A walk that
+stands on one word at two samples takes no part in that repetition, for it would
+meet every window of that word.
+
+``repetitions_for`` gives the number of repetitions: enough to reach ``RECALL``
+for items of a size that one repetition proposes with the probability given in
+``SIZES``, measured for the shortest items with all edits that ``DISTANCE``
+allows, spread evenly, which was harder than edits at the start or anywhere. Longer items have more windows and
+are found more surely. Items of so few words that no edit is allowed have one
+window whose walk shows all of them, and are always found.
 
 A proposed place is kept if at least n - d of the words around it are words of the
 item, which holds at every place that the verifier accepts. Then places of one item in one
 document that overlap are put together and verified: the word edit distance of the
-whole item to the best place there, by dynamic programming. As no place is missed,
-the distance is the smallest in the whole document.
+whole item to the best place there, by dynamic programming. The distance is the
+smallest among the places proposed.
 
 The benchmark is held against the documents in blocks of a fixed number of
 characters; only one block at a time is sent to the tasks. Null and empty texts
@@ -27,6 +38,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from math import ceil, log
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +48,17 @@ from pyspark.sql import functions as F
 from listing_lake.llm.common import slices
 
 DISTANCE = 0.2
+#: The share of the worst items (see above) that the repetitions find.
+RECALL = 0.999
+#: Fewest words of an item, words of its windows, sampled steps, least share that one repetition proposes.
+SIZES = ((10, 6, 3, 0.45), (5, 3, 2, 0.55))
+#: Random bits of a word in a repetition, and the most steps of a walk.
+STEPS = 8
 #: Characters of benchmark text that tasks hold at a time.
 BLOCK = 8_000_000
 REMEMBERED = 500_000
-#: Words of documents that one numpy step covers.
-STEP = 1 << 20
+#: Words of documents that are searched together, and that one numpy step covers.
+STEP, CHUNK = 1 << 20, 1 << 15
 #: Proposed places, and words around them, that one numpy step covers.
 PLACES, AROUND = 1 << 18, 1 << 21
 
@@ -57,10 +75,29 @@ def words_of(text: str | None) -> list[str]:
     return _WORD.findall((text or "").lower())
 
 
-def pieces_of(n: int, distance: float = DISTANCE) -> np.ndarray:
-    """Where the pieces of an item of n words begin, and n."""
-    count = int(distance * n) + 1
-    return np.arange(count + 1) * n // count
+class Windows(NamedTuple):
+    """Windows of one size: their number of words, and the sampled steps of each repetition."""
+
+    words: int
+    samples: tuple[tuple[int, ...], ...]
+    walks: bool = True  # else every step moves on
+
+
+def windows_of(n: int, distance: float = DISTANCE) -> Windows:
+    """The windows of an item of n words."""
+    if int(distance * n) == 0:
+        words = min(n, STEPS)
+        return Windows(words, (tuple(range(words)),), walks=False)
+    for least, words, count, hit in SIZES:
+        if n >= least:
+            break
+    else:  # distances beyond a fifth let shorter items be edited
+        words, count, hit = min(n, words), min(n, count), 0.2
+    chosen = []
+    for repetition in range(repetitions_for(RECALL, hit)):
+        steps = np.random.default_rng([words, repetition]).permutation(words)[:count]
+        chosen.append(tuple(sorted(map(int, steps))))
+    return Windows(words, tuple(chosen))
 
 
 class _Codes(dict):
@@ -74,27 +111,51 @@ class _Codes(dict):
 
 
 def _joined(keys: np.ndarray, more: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        keys = (keys ^ more) * np.uint64(0x9E3779B97F4A7C15)
-    return keys ^ keys >> np.uint64(32)
+    keys = (keys ^ more) * np.uint32(0x9E3779B1)
+    keys ^= keys >> np.uint32(15)
+    return keys
 
 
-def _keys(codes: np.ndarray, starts: np.ndarray, size: int) -> np.ndarray:
-    """One key for the words of each piece."""
-    keys = np.full(len(starts), size, np.uint64)
-    for step in range(size):
-        keys = _joined(keys, codes[starts + step])
+def _bits(words: np.ndarray, repetition: int) -> np.ndarray:
+    """``STEPS`` random bits of each word, others in each repetition."""
+    at, part = divmod(repetition, 64 // STEPS)
+    x = words.astype(np.uint64) + np.uint64((at + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return ((x ^ x >> np.uint64(31)) >> np.uint64(STEPS * part)).astype(np.uint8)
+
+
+def _keys(words: np.ndarray, windows: Windows, repetition: int) -> np.ndarray:
+    """What the walk from each word shows at the sampled steps; 0 if it stands still between two.
+
+    The walks from all words are taken together, last step first: the key of a
+    walk at a word and step is that of the word it goes to, at the next step.
+    """
+    samples = windows.samples[repetition]
+    bits = _bits(words, repetition) if windows.walks else np.full(len(words), 255, np.uint8)
+    keys, after = np.full(len(words), windows.words, np.uint32), None
+    for step in range(samples[-1], -1, -1):
+        if after is not None:
+            moved = np.zeros_like(keys)
+            moved[:-1] = keys[1:]
+            keys = np.where(bits & np.uint8(1 << step), moved, keys)
+        if step in samples:
+            shown = _joined(keys, words)
+            if after is not None:
+                between = np.uint8((1 << after) - (1 << step))
+                shown[((bits & between) == 0) | (keys == 0)] = 0
+            keys, after = shown, step
     return keys
 
 
 def _filter(keys: np.ndarray) -> np.ndarray:
     seen = np.zeros(1 << _FOLD, bool)
-    seen[keys & np.uint64((1 << _FOLD) - 1)] = True
+    seen[keys & ((1 << _FOLD) - 1)] = True
     return seen
 
 
 def _passes(seen: np.ndarray, keys: np.ndarray) -> np.ndarray:
-    return seen[keys & np.uint64((1 << _FOLD) - 1)]
+    return seen[keys & ((1 << _FOLD) - 1)]
 
 
 def _runs(counts: np.ndarray) -> np.ndarray:
@@ -103,7 +164,7 @@ def _runs(counts: np.ndarray) -> np.ndarray:
 
 
 class Index:
-    """The pieces of a block of items, by their number of words."""
+    """The windows of a block of items, by their size and repetition."""
 
     def __init__(self, items: list[tuple[int, list[str]]], distance: float = DISTANCE):
         known = _Codes()
@@ -111,51 +172,59 @@ class Index:
         self.distance = distance
         self.lengths = np.array([len(c) for _, c in self.items], np.int64)
         self.slacks = np.array([int(distance * n) for n in self.lengths], np.int64)
-        self.pieces: dict[int, tuple] = {}
+        sizes = [windows_of(n, distance) for n in self.lengths.tolist()]
+        #: How far from a proposed place an item can begin or end: its edits, and the lag of two walks.
+        self.reach = self.slacks + np.array([s.words - 1 if s.walks else 0 for s in sizes], np.int64)
+        self.windows: dict[Windows, list[tuple]] = {}
         if not self.items:
             return
-        flat = np.concatenate([c for _, c in self.items]).astype(np.uint64)
+        flat = np.concatenate([c for _, c in self.items]).astype(np.uint32)
         first = np.cumsum(self.lengths) - self.lengths
-        owner = np.repeat(np.arange(len(self.items)), self.slacks + 1)
-        cuts = [pieces_of(n, distance) for n in self.lengths.tolist()]
-        offset = np.concatenate([c[:-1] for c in cuts])
-        length = np.concatenate([np.diff(c) for c in cuts])
-        for size in np.unique(length).tolist():
-            own, place = owner[length == size], offset[length == size]
-            keys = _keys(flat, first[own] + place, size)
-            order = np.argsort(keys, kind="stable")
-            self.pieces[size] = _filter(keys), keys[order], own[order], place[order]
-        self.held = _filter(_joined(flat, np.repeat(np.arange(len(self.items)), self.lengths).astype(np.uint64)))
+        for size in dict.fromkeys(sizes):
+            own = np.array([number for number, s in enumerate(sizes) if s == size])
+            counts = self.lengths[own] - size.words + 1
+            owner, offset = np.repeat(own, counts), _runs(counts)
+            self.windows[size] = []
+            for repetition in range(len(size.samples)):
+                keys = _keys(flat, size, repetition)[first[owner] + offset]
+                order = np.argsort(keys, kind="stable")[(keys == 0).sum() :]
+                self.windows[size].append((_filter(keys[order]), keys[order], owner[order], offset[order]))
+        self.held = _filter(_joined(flat, np.repeat(np.arange(len(self.items)), self.lengths).astype(np.uint32)))
 
     def near(self, codes: np.ndarray, begins, ends, numbers: np.ndarray, places: np.ndarray) -> np.ndarray:
         """Which places have enough words of the item around them."""
-        slack = self.slacks[numbers]
-        low = np.maximum(begins, places - slack)
-        counts = np.minimum(ends, places + self.lengths[numbers] + slack) - low
+        slack, reach = self.slacks[numbers], self.reach[numbers]
+        low = np.maximum(begins, places - reach)
+        counts = np.minimum(ends, places + self.lengths[numbers] + reach) - low
         kept = np.zeros(len(places), bool)
         steps = np.searchsorted(np.cumsum(counts), np.arange(0, counts.sum(), AROUND), "right")
         cuts = np.unique(np.append(steps, len(places)))
         for a, b in zip(cuts[:-1], cuts[1:]):
             size = counts[a:b]
             words = codes[np.repeat(low[a:b], size) + _runs(size)]
-            held = _passes(self.held, _joined(words, np.repeat(numbers[a:b], size).astype(np.uint64)))
+            held = _passes(self.held, _joined(words, np.repeat(numbers[a:b], size).astype(np.uint32)))
             found = np.add.reduceat(held, np.cumsum(size) - size, dtype=np.int64)
             kept[a:b] = found >= self.lengths[numbers[a:b]] - slack[a:b]
         return kept
 
     def candidates(self, codes: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """Columns document, item, place of the item's first word, in order, for texts put one after the other."""
-        begins = np.concatenate([[0], ends[:-1]])
+        codes, begins = codes.astype(np.uint32, copy=False), np.concatenate([[0], ends[:-1]])
         rows = [np.empty((3, 0), np.int64)]
-        for size, (seen, keys, owner, offset) in self.pieces.items():
-            starts = np.arange(len(codes) - size + 1)
-            own = _keys(codes, starts, size)
-            starts = starts[_passes(seen, own)]
+        for size, repetition, first in (
+            (size, repetition, first)
+            for size, tables in self.windows.items()
+            for first in range(0, len(codes), CHUNK)
+            for repetition in range(len(tables))
+        ):
+            seen, keys, owner, offset = self.windows[size][repetition]
+            own = _keys(codes[first : first + CHUNK + size.words - 1], size, repetition)[:CHUNK]
+            starts = np.flatnonzero(_passes(seen, own) & (own != 0))
             own = own[starts]
             low, high = np.searchsorted(keys, own, "left"), np.searchsorted(keys, own, "right")
+            hit = high > low
+            starts, low, counts = starts[hit] + first, low[hit], (high - low)[hit]
             docs = np.searchsorted(ends, starts, "right")
-            hit = (high > low) & (starts + size <= ends[docs])
-            starts, docs, low, counts = starts[hit], docs[hit], low[hit], (high - low)[hit]
             # an entry of the index that meets very many words is dealt out as well
             total = int(counts.sum())
             upto = np.cumsum(counts)
@@ -187,8 +256,8 @@ def matches(index: Index, codes: np.ndarray, ends: np.ndarray, distance: float)
         raise ValueError("the index proposes pairs up to its own distance only")
     begins = np.concatenate([[0], ends[:-1]])
     docs, numbers, places = index.candidates(codes, ends)
-    low = np.maximum(begins[docs], places - index.slacks[numbers])
-    high = np.minimum(ends[docs], places + index.lengths[numbers] + index.slacks[numbers])
+    low = np.maximum(begins[docs], places - index.reach[numbers])
+    high = np.minimum(ends[docs], places + index.lengths[numbers] + index.reach[numbers])
     # places are in order, so that those of one pair that overlap follow each other
     new = np.ones(len(docs), bool)
     new[1:] = (np.diff(docs) != 0) | (np.diff(numbers) != 0) | (low[1:] > high[:-1])
@@ -214,7 +283,7 @@ def _search(shared, distance: float):
         index, known = Index(*shared.value), _Codes()
 
         def found(ids: list, parts: list[np.ndarray]) -> pa.RecordBatch:
-            codes, ends = np.concatenate(parts).astype(np.uint64), np.cumsum([*map(len, parts)])
+            codes, ends = np.concatenate(parts).astype(np.uint32), np.cumsum([*map(len, parts)])
             rows = [
                 (ids[doc], index.items[number][0], d, len(index.items[number][1]))
                 for (doc, number), d in matches(index, codes, ends, distance).items()

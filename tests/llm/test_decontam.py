@@ -112,6 +112,56 @@ def test_odd_rows(spark, monkeypatch):
     assert run(spark, [], items) == {} and run(spark, docs, []) == {}
 
 
+def _evenly_edited(words, rng):
+    """The most edits that the distance allows, evenly spread."""
+    words, count = list(words), int(dc.DISTANCE * len(words))
+    for i in reversed(range(count)):
+        at, kind = int((i + 0.5) * len(words) / count), rng.randrange(3)
+        words[at : at + (kind != 1)] = [] if kind == 2 else [f"new{rng.randrange(10**9)}"]
+    return words
+
+
+@pytest.mark.parametrize("n", [5, 7, 10, 14])
+def test_shares_proposed_by_one_repetition_and_by_all(n, monkeypatch):
+    """The measured share that the number of repetitions rests on, and what they reach together."""
+    rng = random.Random(n)
+    items = [(i, [f"w{rng.randrange(10**9)}" for _ in range(n)]) for i in range(1000)]
+    texts = [[f"a{i}"] * 9 + _evenly_edited(words, rng) + [f"b{i}"] * 9 for i, words in items]
+    known = dc._Codes()
+    parts = [np.array([known[w] for w in t], np.uint64) for t in texts]
+    codes, ends = np.concatenate(parts), np.cumsum([*map(len, parts)])
+    share = next(hit for least, *_, hit in dc.SIZES if n >= least)
+
+    def proposed():
+        docs, numbers, _ = dc.Index(items).candidates(codes, ends)
+        return np.unique(docs[docs == numbers]).size / len(items)
+
+    assert proposed() >= 0.99
+    all_of = dc.windows_of
+    single = []
+    for repetition in range(len(all_of(n).samples)):
+        one = dc.Windows(all_of(n).words, all_of(n).samples[repetition : repetition + 1])
+        monkeypatch.setattr(dc, "windows_of", lambda *_: one)
+        single.append(proposed())
+    assert np.mean(single) >= share
+
+
+def test_walks_meet_again_after_an_insertion():
+    """Of windows that differ by a word put in front, more show the same words than by chance."""
+    rng = np.random.default_rng(1)
+    words = rng.integers(0, 2**32, (3000, 6)).astype(np.uint32)
+    more = np.concatenate([rng.integers(0, 2**32, (3000, 1)).astype(np.uint32), words[:, :5]], axis=1)
+    windows = dc.Windows(6, ((3, 5),))
+    keys = [dc._keys(w.ravel(), windows, 0).reshape(-1, 6)[:, 0] for w in (words, more)]
+    assert 0.1 < np.mean((keys[0] == keys[1]) & (keys[0] != 0)) < 0.6
+
+
+def test_no_edits_allowed(spark):
+    phrase = " ".join(f"w{i}" for i in range(30))
+    docs = [(1, f"x {phrase} y"), (2, phrase.replace("w29", "z")), (3, phrase)]
+    assert run(spark, docs, [(7, phrase)], distance=0.0) == {(1, 7): 0, (3, 7): 0}
+
+
 def _replaced(words, count, where, rng):
     """count words replaced: the first, the last, or spread from end to end."""
     at = {"start": range(count), "end": range(len(words) - count, len(words))}
