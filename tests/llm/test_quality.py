@@ -37,7 +37,9 @@ def test_views_teach_each_other():
     text, meta = views(truth)
     pool_text, pool_meta = views(pool_truth)
     aside = np.arange(60) % 4 == 3
-    model = quality.CoTrained(text, meta, truth.astype(float), aside, pool_text, pool_meta)
+    model = quality.CoTrained(
+        text, meta, truth.astype(float), aside, lambda function, *args: function(*args, (pool_text, pool_meta))
+    )
     alone = Logistic(meta[~aside], truth[~aside].astype(float))
     fresh = rng.random(4000) < 0.5
     new_text, new_meta = views(fresh)
@@ -59,3 +61,50 @@ def test_no_labels_and_no_rows(spark):
     frame = spark.createDataFrame([(1, "a", "en", "s", 1, 1)], DOCS)
     assert [r.score for r in quality.score(frame, spark.createDataFrame([], LABELS)).collect()] == [0.5]
     assert quality.score(frame.limit(0), spark.createDataFrame([(1, 1, "t")], LABELS)).collect() == []
+
+
+def test_limits_take_whole_bins_and_only_sure_ones():
+    counts = np.zeros(2 * quality.LIMIT * quality.FINE + 1)
+    middle = quality.LIMIT * quality.FINE
+    counts[[middle - 200, middle - 100, middle, middle + 100, middle + 300]] = 10, 30, 1000, 40, 5
+    found = quality.handing(counts, 0.02, 0.5, 60)
+    assert (found.low, found.high) == (middle - 100, middle + 100)  # 40 and 45, where 11 of each are wanted
+    assert found.weights == (30 / 40, 30 / 45)
+    assert quality.handing(counts, 0.9, 0.5, 60).high > middle  # no bin that is not sure
+    rare = quality.handing(counts, 0.02, 0.99, 60)
+    assert rare.high > middle + 100  # sure beyond the share of the labels
+    none = quality.handing(counts * 0, 0.02, 0.5, 60)
+    assert none.weights == (0.0, 0.0)
+
+
+def test_sums_over_the_unlabelled_rows(spark):
+    """What Spark adds up over many tasks is the same as over all rows at once."""
+    rng = np.random.default_rng(5)
+    views = [rng.normal(size=(500, width)).astype("f4") for width in (6, 3)]
+    frame = spark.createDataFrame(
+        [(a.tolist(), b.tolist()) for a, b in zip(*views)], "by_text array<float>, by_meta array<float>"
+    ).repartition(7)
+    labels = (views[0][:, 0] + views[1][:, 0] > 0).astype(float)
+    lines = [quality.fitted(v.astype(float), labels) for v in views]
+    handed = [quality.Handing(400, 900, (0.5, 1.0)), quality.Handing(620, 660, (1.0, 0.25))]
+    over = quality._over(frame, (6, 3))
+    assert np.array_equal(over(quality.tally, lines), quality.tally(lines, views))
+    assert np.allclose(over(quality.told, lines, handed, lines), quality.told(lines, handed, lines, views))
+
+
+def test_each_fitting_step_raises_the_likelihood():
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(300, 4)) * [1, 5, 0.1, 1]
+    y = (x[:, 1] + 0.1 * rng.normal(size=300) > 0).astype(float)
+    line, before = quality.Line(x.mean(axis=0), x.std(axis=0), rng.normal(size=5) * 9), -np.inf
+    for _ in range(20):
+        z = line.design(x) @ line.weights
+        now = (y * z - np.logaddexp(0, z)).sum() - quality.RIDGE / 2 * (line.weights[1:] ** 2).sum()
+        assert now >= before - 1e-6
+        line, before = line.moved(line.sums(x, y, np.ones(300))), now
+
+
+def test_frequent_values_have_places_of_their_own(spark):
+    rows = spark.createDataFrame([("a",), ("a",), ("b",), ("c",), ("c",), (None,)], "source string")
+    places = quality._places(rows, "source", 2, 4)
+    assert places.own == {"a": 0, "c": 1} and places.size == 6 and places("b") >= 2
