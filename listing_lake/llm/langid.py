@@ -11,11 +11,13 @@ array of hashes beside an array of counts, looked up by binary search. A model
 so has a fixed largest size whatever the text.
 
 The language with the lowest cross-entropy per character wins. A logistic
-calibration, fitted on training documents that were kept from the counts, maps
-the margin to the runner-up, the length and the entropy itself to the
-probability that the choice is right (``score``). ``rejected`` marks choices
-below ``REJECT`` or with an entropy beyond what ``TAIL`` of the right choices
-have; the predicted language stays in the row.
+calibration maps the margin to the runner-up, the length and the entropy itself
+to the probability that the choice is right (``score``). It is fitted on all
+training documents, each judged by a model that has not counted it: there is one
+for each of ``FOLDS`` parts, from the counts of all other parts. Predictions come
+from the model of all training documents. ``rejected`` marks choices below
+``REJECT`` or with an entropy beyond what ``TAIL`` of the right choices have, up
+to a grid of ``GRID`` steps a bit; the predicted language stays in the row.
 
 Null texts and texts without a letter are ``und`` with score 0, as is
 everything if there is nothing to learn from. Held-out rows (crc32 of the id
@@ -30,18 +32,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from listing_lake.llm.calibration import Logistic
-from listing_lake.llm.common import bounded, held_out, slices
+from listing_lake.llm.common import held_out, slices
 from listing_lake.session import stored
 
 ORDER = 4
 HASH_BITS = 20
 #: Characters handled in one numpy step; distinct grams a worker holds before it hands them on.
 STEP, HELD = 1 << 21, 1 << 21
-CALIBRATED = 100_000
+FOLDS = 2
+GRID = 1024
 REJECT = 0.5
 TAIL = 0.999
 UNKNOWN = "und"
@@ -93,27 +96,29 @@ def _unique(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kept: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
+    kept: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
     held = 0
 
     def out() -> Iterator[pa.RecordBatch]:
-        for lang, parts in kept.items():
+        for (lang, fold), parts in kept.items():
             keys, counts = _unique(*(np.concatenate(c) for c in zip(*parts)))
             names = pa.array([lang]).dictionary_encode().take(pa.array(np.zeros(len(keys), np.int32)))
+            folds = pa.array(np.full(len(keys), fold, np.int32))
             yield pa.RecordBatch.from_arrays(
-                [names.cast(pa.string()), pa.array(keys.view(np.int64)), pa.array(counts)], ["lang", "gram", "n"]
+                [names.cast(pa.string()), folds, pa.array(keys.view(np.int64)), pa.array(counts)],
+                ["lang", "fold", "gram", "n"],
             )
         kept.clear()
 
     for part in slices(batches, 2048):
-        langs = np.array(part.column(1).to_pylist(), object)
-        texts = np.array([t.lower() for t in part.column(0).to_pylist()], object)
-        for lang in set(langs):
-            for _, step in _steps(list(texts[langs == lang])):
+        groups = list(zip(part.column(1).to_pylist(), part.column(2).to_pylist()))
+        texts = [t.lower() for t in part.column(0).to_pylist()]
+        for group in set(groups):
+            for _, step in _steps([t for t, g in zip(texts, groups) if g == group]):
                 grams = _grams(*_codes(step))
                 if len(grams):
                     keys, counts = np.unique(grams, return_counts=True)
-                    kept.setdefault(lang, []).append((keys, counts.astype(np.int64)))
+                    kept.setdefault(group, []).append((keys, counts.astype(np.int64)))
                     held += len(keys)
         if held > HELD:
             kept = {k: [_unique(*(np.concatenate(c) for c in zip(*v)))] for k, v in kept.items()}
@@ -193,14 +198,24 @@ class Model(NamedTuple):
         return np.array(found).reshape(len(self.langs), len(grams))
 
 
-def learn(rows: DataFrame) -> Model:
-    """The model of rows (text, lang), no nulls."""
-    grams = stored(
-        rows.select("text", "lang")
-        .mapInArrow(_count, "lang string, gram long, n long")
-        .groupBy("lang", "gram")
+def counted(rows: DataFrame) -> DataFrame:
+    """(lang, fold, gram, n) of rows (text, lang, fold), no nulls: one pass over the texts."""
+    return stored(
+        rows.select("text", "lang", F.col("fold").cast("int"))
+        .mapInArrow(_count, "lang string, fold int, gram long, n long")
+        .groupBy("lang", "fold", "gram")
         .agg(F.sum("n").alias("n"))
     )
+
+
+def learn(rows: DataFrame) -> Model:
+    """The model of rows (text, lang), no nulls."""
+    return model_of(counted(rows.withColumn("fold", F.lit(0))))
+
+
+def model_of(counts: DataFrame) -> Model:
+    """The model of the counts of some folds."""
+    grams = counts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     parts = None
     level = grams
     for order in range(ORDER, 0, -1):
@@ -285,6 +300,12 @@ def _features(columns: dict[str, np.ndarray]) -> np.ndarray:
     return np.column_stack([evidence, columns["margin"], columns["entropy"], columns["log_length"]])
 
 
+def _feature_columns() -> list[Column]:
+    """The same as columns."""
+    evidence = F.sqrt(F.col("margin") * F.greatest(F.expm1("log_length"), F.lit(0.0)))
+    return [evidence, F.col("margin"), F.col("entropy"), F.col("log_length")]
+
+
 def _apply(model: Logistic, limit: float):
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches:
@@ -300,6 +321,22 @@ def _apply(model: Logistic, limit: float):
     return apply
 
 
+def _guessed(rows: DataFrame, model: Model) -> DataFrame:
+    """What the model says of rows (text, doc_id, held_out, lang)."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+    schema = "doc_id long, held_out boolean, lang string, lang_pred string, "
+    return rows.select("text", "doc_id", "held_out", "lang").mapInArrow(
+        _guess(shared), schema + ", ".join(f"{n} double" for n in FIGURES)
+    )
+
+
+def _entropy_limit(right: DataFrame) -> float:
+    """The end of the grid cell up to which ``TAIL`` of the entropies lie; there are few cells."""
+    cells = right.groupBy(F.floor(F.col("entropy") * GRID).alias("cell")).agg(F.count("*").alias("n")).orderBy("cell").collect()
+    below = np.cumsum([r.n for r in cells])
+    return (cells[int(np.searchsorted(below, TAIL * below[-1]))].cell + 1) / GRID if cells else np.inf
+
+
 def identify(docs: DataFrame) -> DataFrame:
     """(doc_id, held_out, lang_pred, score, rejected) for every row of docs (doc_id, text, lang)."""
     rows = docs.select(
@@ -307,21 +344,19 @@ def identify(docs: DataFrame) -> DataFrame:
         F.col("text").cast("string").alias("text"),
         held_out().alias("held_out"),
         F.when(~held_out(), F.col("lang").cast("string")).alias("lang"),
-        (F.shiftright(F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)), 2) % 8 == 3).alias("aside"),
-    )
-    model = learn(rows.filter("lang IS NOT NULL AND text IS NOT NULL AND NOT aside"))
-    guessed = stored(
-        rows.select("text", "doc_id", "held_out", F.when(F.col("aside"), F.col("lang")).alias("lang")).mapInArrow(
-            _guess(docs.sparkSession.sparkContext.broadcast(model)),
-            "doc_id long, held_out boolean, lang string, lang_pred string, "
-            + ", ".join(f"{n} double" for n in FIGURES),
-        )
+        (F.shiftright(F.coalesce(F.crc32(F.col("doc_id").cast("string")), F.lit(0)), 2) % FOLDS).cast("int").alias("fold"),
     )
-    known = bounded(guessed.filter(f"lang IS NOT NULL AND lang_pred != '{UNKNOWN}'"), CALIBRATED).toArrow()
-    columns = {n: known.column(n).to_numpy() for n in FIGURES}
-    right = np.array(known.column("lang").to_pylist(), object) == np.array(known.column("lang_pred").to_pylist(), object)
-    limit = float(np.quantile(columns["entropy"][right], TAIL)) if right.any() else np.inf
-    return guessed.select("doc_id", "held_out", "lang_pred", *FIGURES).mapInArrow(
-        _apply(Logistic(_features(columns), right), limit),
+    training = rows.filter("lang IS NOT NULL AND text IS NOT NULL")
+    counts, judged = counted(training), None
+    for fold in range(FOLDS):
+        others = model_of(counts.filter(F.col("fold") != fold))
+        found = stored(_guessed(training.filter(F.col("fold") == fold), others).select("lang", "lang_pred", *FIGURES))
+        judged = found if judged is None else judged.union(found)
+    judged = judged.filter(F.col("lang_pred") != UNKNOWN)
+    right = F.col("lang") == F.col("lang_pred")
+    calibration = Logistic.of_table(judged, _feature_columns(), right)
+    limit = _entropy_limit(judged.filter(right))
+    return _guessed(rows, model_of(counts)).select("doc_id", "held_out", "lang_pred", *FIGURES).mapInArrow(
+        _apply(calibration, limit),
         "doc_id long, held_out boolean, lang_pred string, score double, rejected boolean",
     )
