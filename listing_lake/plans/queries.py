@@ -227,22 +227,34 @@ def _scd2_first_load(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
-    """Merge date after date; only open versions travel from step to step."""
+    """Merge date after date; only open versions travel from step to step.
+
+    They travel as ids, values and lifetimes with the number of their row, and
+    meet the wide rows once, after the last date.
+    """
     gold, rest = _split_gold(spark, sf, SPLIT)
-    start, rest = stored(gold), stored(rest)
-    closed, still_open = scd2.closed_rows(start), scd2.current_rows(start)
+    number = F.monotonically_increasing_id()
+    start = stored(gold.withColumn("_row", number))
+    rest = stored(rest.withColumn("_row", -1 - number))
+    narrow = (*BOTH_IDS, "price", *scd2.LIFETIME, "_row")
+    still_open, steps = scd2.current_rows(start).select(*narrow), []
     for (day,) in rest.select(DAY).distinct().orderBy(DAY).collect():
         incoming = scd2.incoming_versions(
-            rest.filter(F.col(DAY) == day), F.lit(day), td.LOADED_AT
+            rest.filter(F.col(DAY) == day), F.lit(day), td.LOADED_AT, "_row"
         )
         step = stored(
             scd2.merge_open(
-                still_open, incoming, F.lit(day), td.LOADED_AT, BOTH_IDS, copies=PER_MATCH
+                still_open, incoming.select(*narrow), F.lit(day), td.LOADED_AT, BOTH_IDS, copies=PER_MATCH
             )
         )
-        closed = closed.unionByName(scd2.closed_rows(step))
+        steps.append(scd2.closed_rows(step))
         still_open = scd2.current_rows(step)
-    return closed.unionByName(still_open)
+    moved = still_open
+    for closed in steps:
+        moved = moved.unionByName(closed)
+    begun = scd2.incoming_versions(rest, F.col(DAY), td.LOADED_AT, "_row")
+    wide = scd2.current_rows(start).unionByName(begun)
+    return scd2.closed_rows(start).drop("_row").unionByName(scd2.described(moved, wide, "_row"))
 
 
 def _scd2_replay_fold(spark: SparkSession, sf: str) -> DataFrame:

@@ -85,3 +85,26 @@ def test_files_of_a_step_prune_folders_without_a_list(spark, lake):
     chosen = lake.bronze(wanted)
     assert "dynamicpruning" in plan(chosen)
     assert chosen.select("_source_file").distinct().count() == 1
+
+
+def test_exchanges_of_wide_rows_leave_out_the_digest(spark, tmp_path):
+    # a row's digest is half of what it weighs when compressed, and follows from its url
+    silver = queries.silver_clean_of(bronze_table(spark, tmp_path))
+    history = scd2.bulk_history(silver, "now", tie_break=td.TIE_BREAK)
+    optimized = history._jdf.queryExecution().optimizedPlan().toString()
+    windows = optimized[optimized.index("Window") :]
+    assert "sha2(" in optimized[: optimized.index("Window")] and "sha2(" not in windows
+    assert history.filter(~F.col("url_hash").eqNullSafe(F.sha2("page_url", 256))).isEmpty()
+
+
+def test_the_cleaning_method_is_not_left_to_the_interpreter(spark, tmp_path):
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")  # Spark's default
+    queries.silver_clean_of(bronze_table(spark, tmp_path))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_replayed_steps_write_narrow_rows(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(queries, "stored", lambda df: written.append(df.columns) or stored(df))
+    queries.queries()["scd2_replay"](spark, SF)
+    assert len(written) > 3 and all("page_url" not in columns for columns in written[2:])
