@@ -88,7 +88,7 @@ def test_files_of_a_step_prune_folders_without_a_list(spark, lake):
 
 
 def test_exchanges_of_wide_rows_leave_out_the_digest(spark, tmp_path):
-    # a row's digest is half of what it weighs when compressed, and follows from its url
+    # a row's digest cannot be compressed, and follows from its url
     silver = queries.silver_clean_of(bronze_table(spark, tmp_path))
     history = scd2.bulk_history(silver, "now", tie_break=td.TIE_BREAK)
     optimized = history._jdf.queryExecution().optimizedPlan().toString()
