@@ -108,3 +108,37 @@ def test_replayed_steps_write_narrow_rows(spark, monkeypatch):
     monkeypatch.setattr(queries, "stored", lambda df: written.append(df.columns) or stored(df))
     queries.queries()["scd2_replay"](spark, SF)
     assert len(written) > 3 and all("page_url" not in columns for columns in written[2:])
+
+
+def test_the_feed_joins_the_part_last(spark):
+    # its texts then move once, and rows of one part stay together in all later exchanges
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(td.feed(spark, SF))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    order = re.findall(r"SortMergeJoin \[(l_partkey|l_suppkey)#", text)  # the last join is printed first
+    assert order == ["l_partkey", "l_suppkey"]
+    below = text[text.index("SortMergeJoin [l_suppkey") :]
+    assert "Exchange" in below and "l_extendedprice" not in below.split("Exchange")[0]
+
+
+def test_a_merge_into_an_empty_store_moves_no_row_to_compare_it(spark, lake, now):
+    lake.gold.create_if_missing(now)
+    incoming = scd2.incoming_versions(td.silver(spark, SF), F.lit("2001-01-01"), td.LOADED_AT)
+    merged = scd2.merge_open(
+        scd2.current_rows(lake.gold.read()), incoming, F.lit("2001-01-01"), td.LOADED_AT, queries.BOTH_IDS
+    )
+    joins = [p._jdf.queryExecution().optimizedPlan().toString().count("Join") for p in (merged, td.silver(spark, SF))]
+    assert joins[0] == joins[1]
+
+
+def written_by(spark, monkeypatch, name):
+    written = []
+    monkeypatch.setattr(queries, "stored", lambda df: written.append(df.columns) or stored(df))
+    queries.queries()[name](spark, SF)
+    return written
+
+
+def test_an_empty_store_takes_the_feed_as_it_is_read(spark, monkeypatch):
+    assert written_by(spark, monkeypatch, "gold_empty_bootstrap") == []
