@@ -142,3 +142,11 @@ def written_by(spark, monkeypatch, name):
 
 def test_an_empty_store_takes_the_feed_as_it_is_read(spark, monkeypatch):
     assert written_by(spark, monkeypatch, "gold_empty_bootstrap") == []
+
+
+def test_incremental_runs_write_no_derived_texts_and_no_row_twice(spark, monkeypatch):
+    for name in ("scd2_incremental_once",):
+        written = written_by(spark, monkeypatch, name)
+        # the history of the early rows, and the later rows; not all rows before their history
+        assert sorted("valid_from" in columns for columns in written) == [False, True]
+        assert all("url_hash" not in columns for columns in written)
