@@ -263,10 +263,9 @@ def _scd2_replay(spark: SparkSession, sf: str) -> DataFrame:
 
 def _scd2_replay_fold(spark: SparkSession, sf: str) -> DataFrame:
     """The same in one pass over all dates."""
-    silver = stored(td.silver(spark, sf))
-    before = F.col(DAY) < F.lit(SPLIT).cast("date")
-    incoming = scd2.incoming_versions(silver.filter(~before), F.col(DAY), td.LOADED_AT)
-    return scd2.replay(stored(_history(silver.filter(before))), incoming, td.LOADED_AT, BOTH_IDS, copies=PER_MATCH)
+    gold, rest = _split_gold(spark, sf, SPLIT)
+    incoming = scd2.incoming_versions(_held(rest), F.col(DAY), td.LOADED_AT)
+    return scd2.replay(_held(gold), incoming, td.LOADED_AT, BOTH_IDS, copies=PER_MATCH)
 
 
 def _scd2_late_rebuild(spark: SparkSession, sf: str) -> DataFrame:

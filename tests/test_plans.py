@@ -145,7 +145,7 @@ def test_an_empty_store_takes_the_feed_as_it_is_read(spark, monkeypatch):
 
 
 def test_incremental_runs_write_no_derived_texts_and_no_row_twice(spark, monkeypatch):
-    for name in ("scd2_incremental_once",):
+    for name in ("scd2_incremental_once", "scd2_replay_fold"):
         written = written_by(spark, monkeypatch, name)
         # the history of the early rows, and the later rows; not all rows before their history
         assert sorted("valid_from" in columns for columns in written) == [False, True]
