@@ -150,3 +150,19 @@ def test_incremental_runs_write_no_derived_texts_and_no_row_twice(spark, monkeyp
         # the history of the early rows, and the later rows; not all rows before their history
         assert sorted("valid_from" in columns for columns in written) == [False, True]
         assert all("url_hash" not in columns for columns in written)
+
+
+def test_a_late_rebuild_moves_the_rows_of_late_ids_once(spark, tmp_path, monkeypatch):
+    assert all("url_hash" not in columns for columns in written_by(spark, monkeypatch, "scd2_late_rebuild"))
+    silver = td.silver(spark, SF)
+    silver.write.parquet(str(tmp_path / "s"))
+    silver = spark.read.parquet(str(tmp_path / "s"))
+    gold = stored(scd2.bulk_history(silver, td.LOADED_AT, tie_break=td.TIE_BREAK))
+    late = stored(gold.select(*queries.BOTH_IDS).distinct())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(scd2.rebuild_late(gold, silver, late, td.LOADED_AT, queries.BOTH_IDS, tie_break=td.TIE_BREAK))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # two joins by id and table, the late ids of each; no exchange for the windows of the history
+    assert all("city" not in keys and "snapshot_date" not in keys for keys in exchanges(text))
