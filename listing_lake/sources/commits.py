@@ -7,10 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema: StructType | str, kind: str = "parquet") -> DataFrame:
     """The folder's rows, or none where nothing was written yet."""
     try:
-        return spark.read.schema(schema).parquet(path)
+        return spark.read.schema(schema).format(kind).load(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

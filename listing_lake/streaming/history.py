@@ -2,6 +2,8 @@
 
 A stream that merges by rewriting all open versions pays for every id on every
 batch. Here the open values of an id are its state: a batch costs what it changes.
+An id that no batch has brought yet has no state; what was open before the stream
+meets its first rows in a join, so that no Python call is spent on the other ids.
 The stream carries counted (id, day, file, value) rows only and appends events:
 
 * ``opened``: version number ``nth`` of an id begins with the rows of one file;
@@ -26,6 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from listing_lake.operators import scd2
+from listing_lake.sources import commits
 from listing_lake.sources.lake import SILVER_ON_DISK
 
 IDS = ("table_name", *scd2.MERGE_KEYS)
@@ -34,7 +37,7 @@ _COUNTED = "table_name string, property_id long, price long, day date, file_hash
 EVENTS = (
     "table_name string, property_id long, price long, nth long, event string, day date, file_hash string, copies long"
 )
-
+_BEGUN = "table_name string, property_id long, begun array<long>"
 _NAMES = [field.split()[0] for field in EVENTS.split(", ")]
 
 
@@ -53,16 +56,15 @@ class Versions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.state = handle.getValueState("versions", "open array<struct<price: bigint, nth: bigint>>, made bigint")
 
-    def handleInitialState(self, key: Any, initialState: Row, timerValues: Any) -> None:
-        # versions that were there before the stream all have number 0
-        self.state.update(([(price, 0) for price in initialState["prices"]], 0))
-
     def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
         steps: dict = defaultdict(Counter)
+        before_stream = ()
         for row in rows:
             steps[row["day"], row["file_hash"] or ""][row["price"]] += row["n"]
+            before_stream = row["begun"] or ()
         held = self.state.get()
-        still_open, made = ({price: nth for price, nth in held[0]}, held[1]) if held else ({}, 0)
+        # versions that were there before the stream all have number 0
+        still_open, made = (dict(held[0]), held[1]) if held else ({price: 0 for price in before_stream}, 0)
         events = []
         for (day, file_hash), counts in sorted(steps.items()):
             known, before = sum(counts.values()), dict(still_open)
@@ -75,7 +77,8 @@ class Versions(StatefulProcessor):
                     made += 1
                     still_open[price] = made
                     events.append((price, made, "opened", day, file_hash, None))
-        self.state.update((sorted(still_open.items()), made))
+        if events:
+            self.state.update((sorted(still_open.items()), made))
         for event in events:
             yield Row(**dict(zip(_NAMES, (*key, *event))))
 
@@ -89,6 +92,18 @@ def _with_table(silver: DataFrame) -> DataFrame:
     )
 
 
+def _begun(spark: SparkSession, checkpoint: str, gold: DataFrame | None) -> DataFrame:
+    """The values of each id that were open before the first run, kept with the stream's position.
+
+    They are written before the stream has a position; a run that died on the way writes them anew.
+    """
+    folder = f"{checkpoint}/begun"
+    if gold is not None and commits.read_or_empty(spark, f"{checkpoint}/metadata", "value string", "text").isEmpty():
+        values = scd2.current_rows(gold).dropna(subset=[*IDS, "price"]).groupBy(*IDS)
+        values.agg(F.collect_set("price").alias("begun")).write.mode("overwrite").parquet(folder)
+    return commits.read_or_empty(spark, folder, _BEGUN)
+
+
 def stream_versions(
     spark: SparkSession, silver_folder: str, events_folder: str, checkpoint: str, gold: DataFrame | None = None
 ) -> StreamingQuery:
@@ -98,12 +113,8 @@ def stream_versions(
     counted = rows.select(
         *IDS, "price", F.col("snapshot_date").alias("day"), "file_hash", F.lit(1).cast("long").alias("n")
     ).mapInArrow(_counted, _COUNTED)
-    start = None
-    if gold is not None:
-        prices = F.collect_set("price").alias("prices")  # the open values of one id
-        start = scd2.current_rows(gold).dropna(subset=[*IDS, "price"]).groupBy(*IDS).agg(prices).groupBy(*IDS)
-    events = counted.groupBy(*IDS).transformWithState(
-        statefulProcessor=Versions(), outputStructType=EVENTS, outputMode="append", timeMode="none", initialState=start
+    events = counted.join(_begun(spark, checkpoint, gold), list(IDS), "left").groupBy(*IDS).transformWithState(
+        statefulProcessor=Versions(), outputStructType=EVENTS, outputMode="append", timeMode="none"
     )
     query = (
         events.writeStream.format("parquet")

@@ -61,3 +61,21 @@ def test_equal_rows_are_counted_before_the_shuffle():
     rows = pa.table({"table_name": ["a"] * 5, "property_id": [1, 1, 1, 2, 1], "n": [1, 1, 1, 1, 2]})
     (batch,) = history._counted(rows.to_batches())
     assert sorted(map(tuple, (r.values() for r in batch.to_pylist()))) == [("a", 1, 5), ("a", 2, 1)]
+
+
+def test_only_ids_that_a_batch_brings_get_a_state_and_a_call(spark):
+    old = silver_of(spark, [(i, D1, 100) for i in range(50)], "hash-0")
+    gold = stored(scd2.bulk_history(old, LOAD, scd2.MERGE_KEYS))
+    place, later = work_dir(spark, "stream"), [D1 + dt.timedelta(days=n) for n in (1, 2)]
+    brought = ([(0, later[0], 100), (1, later[0], 200)], [(2, later[1], 300), (1, later[1], 100)])
+    kept = []
+    for n, rows in enumerate(brought):
+        silver_of(spark, rows, f"hash-{n + 1}").write.mode("append").parquet(f"{place}/silver")
+        # what was there before the first run is known from then on
+        known = gold if n == 0 else None
+        query = history.stream_versions(spark, f"{place}/silver", f"{place}/events", f"{place}/position", known)
+        kept.append(query.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert kept == [1, 2]  # id 0 came back with its open value
+    events = spark.read.schema(history.EVENTS).parquet(f"{place}/events")
+    ended = events.filter("event = 'ended'").select("property_id", "price", "nth", "day")
+    assert sorted(map(tuple, ended.collect())) == [(1, 100, 0, later[0]), (1, 200, 1, later[1]), (2, 100, 0, later[1])]
