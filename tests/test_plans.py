@@ -166,3 +166,20 @@ def test_a_late_rebuild_moves_the_rows_of_late_ids_once(spark, tmp_path, monkeyp
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # two joins by id and table, the late ids of each; no exchange for the windows of the history
     assert all("city" not in keys and "snapshot_date" not in keys for keys in exchanges(text))
+
+
+def test_batches_decide_about_the_ids_they_bring_only(spark, monkeypatch):
+    gold, rest = map(stored, queries._split_gold(spark, SF, queries.STORE_SPLIT))
+    decide, compared = scd2._lifetimes, []
+    monkeypatch.setattr(scd2, "_lifetimes", lambda pairs, *more: compared.append(pairs) or decide(pairs, *more))
+    incoming = scd2.incoming_versions(rest, F.col("snapshot_date"), td.LOADED_AT)
+    scd2.replay(gold, incoming, td.LOADED_AT, queries.BOTH_IDS)
+    ids = compared[0].select(*queries.BOTH_IDS).distinct()
+    assert ids.join(incoming, list(queries.BOTH_IDS), "left_anti").isEmpty()
+    assert 0 < ids.count() < scd2.current_rows(gold).select(*queries.BOTH_IDS).distinct().count()
+
+
+def test_the_windows_of_a_history_do_not_sort_by_the_table_first(spark, tmp_path):
+    text = plan(scd2.bulk_history(queries.silver_clean_of(bronze_table(spark, tmp_path)), "now"))
+    keys = [[k.split("#")[0].strip() for k in found.split(",")] for found in exchanges(text)]
+    assert sorted(k[:3] for k in keys) == [["city", "property_id", "table_name"]] * 2
