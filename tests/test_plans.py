@@ -183,3 +183,51 @@ def test_the_windows_of_a_history_do_not_sort_by_the_table_first(spark, tmp_path
     text = plan(scd2.bulk_history(queries.silver_clean_of(bronze_table(spark, tmp_path)), "now"))
     keys = [[k.split("#")[0].strip() for k in found.split(",")] for found in exchanges(text)]
     assert sorted(k[:3] for k in keys) == [["city", "property_id", "table_name"]] * 2
+
+
+def same_rows(one, other):
+    other = other.select(*one.columns)
+    return one.exceptAll(other).isEmpty() and other.exceptAll(one).isEmpty()
+
+
+def files(folder):
+    return len(list(folder.rglob("*.parquet")))
+
+
+def test_a_published_history_moves_its_wide_rows_once(spark, lake, tmp_path, now):
+    silver = queries.silver_clean_of(bronze_table(spark, tmp_path))
+    history = scd2.bulk_history_by_city(silver, "now", td.TIE_BREAK)
+    text = plan(history)
+    # one more for the counts of the cities, which are broadcast
+    assert len(re.findall(r"Exchange shufflepartitionidpassthrough", text)) == 1
+    assert all(re.fullmatch(r"city#\w+, \w+", keys) for keys in exchanges(text))
+    assert same_rows(scd2.bulk_history(silver, "now", tie_break=td.TIE_BREAK), history)
+    lake.gold.publish(history, "bulk", now, by_city=True)
+    read = lake.gold.read()
+    assert same_rows(history.withColumn("is_current", F.coalesce("is_current", F.lit(False))), read)
+    # a part shares a city with its neighbours at most
+    folders = read.select("table_name", "is_current", "city").distinct().count()
+    assert files(tmp_path / "gold" / "data") <= folders + 4 * history.rdd.getNumPartitions()
+
+
+def test_a_history_by_city_bounds_hot_listings_and_large_cities(spark, tmp_path, monkeypatch):
+    number = F.col("l_orderkey") % 6
+    silver = stored(td.silver(spark, SF)).withColumns(
+        {
+            # one listing, and all that have no id, own a third of the feed each
+            "property_id": F.when(number < 2, 1).when(number < 4, F.lit(None)).otherwise(F.col("property_id")).cast("long"),
+            "city": F.when(number < 2, "hot").when(number < 4, "null").when(F.col("location_id") < 15, "large").otherwise(F.col("city")),
+        }
+    )
+    expected = scd2.bulk_history(silver, "now", tie_break=td.TIE_BREAK)
+    history = scd2.bulk_history_by_city(silver, "now", td.TIE_BREAK)
+    # hot keys take the exchange that reduces them before it
+    assert sum("snapshot_date" in keys for keys in exchanges(plan(history))) == 1
+    assert same_rows(expected, history)
+    monkeypatch.setattr(scd2, "PART_ROWS", 100)
+    small = scd2.bulk_history_by_city(silver, "now", td.TIE_BREAK)
+    assert same_rows(expected, small)
+    of_city = small.filter("city = 'large'").groupBy(F.spark_partition_id()).count().collect()
+    assert len(of_city) > 4 and max(n for _, n in of_city) < 200
+    none = scd2.bulk_history_by_city(silver.limit(0), "now", td.TIE_BREAK)
+    assert none.isEmpty() and none.columns == expected.columns
