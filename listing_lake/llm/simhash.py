@@ -175,7 +175,12 @@ def _at_anchors(reach: int):
 
 
 def links(fps: DataFrame) -> DataFrame:
-    """(a, b), a < b: every two of the distinct fingerprints (fp) that differ in few bits."""
+    """(a, b), a < b: every two of the distinct fingerprints (fp) that differ in few bits.
+
+    Spark takes the anchors for as small as the fingerprints that they are made of, so it is
+    told to sort both sides: a fingerprint is sent to some sixty anchors, and a broadcast
+    of those would not fit into the driver where the fingerprints themselves are under its limit.
+    """
     schema = "anchor long, fp long"
     homes = fps.select("fp").mapInArrow(_at_anchors(0), schema).withColumnRenamed("fp", "a")
     probes = fps.select("fp").mapInArrow(_at_anchors(THRESHOLD), schema).withColumnRenamed("fp", "b")
@@ -184,7 +189,7 @@ def links(fps: DataFrame) -> DataFrame:
         & (F.col("a") < F.col("b"))
         & (F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= THRESHOLD)
     )
-    return homes.join(probes, close).select("a", "b")
+    return homes.join(probes.hint("merge"), close).select("a", "b")
 
 
 def _members(docs: DataFrame) -> tuple[DataFrame, DataFrame]:

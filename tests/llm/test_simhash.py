@@ -68,6 +68,12 @@ def test_every_close_pair_meets_at_an_anchor():
         assert home in probes[index == i]
 
 
+def test_anchors_are_not_broadcast(spark):
+    fps = spark.range(50).selectExpr("xxhash64(id) AS fp")
+    plan = simhash.links(fps)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_chains_and_stars(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(201, 200), (5, 5), (1, 0)]
     frame = spark.createDataFrame(edges, "a long, b long")
