@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from listing_lake.llm import decontam, linedup, packing, simhash, toxicity
-from listing_lake.llm.common import table
+from listing_lake.llm.common import components, table
 from listing_lake.llm.queries import oracle_sql, queries
 from listing_lake.session import stored
 
@@ -38,6 +38,18 @@ def test_every_stage_takes_effect(spark):
     assert kept == sorted(kept, reverse=True)
 
 
+def test_near_duplicates_broadcast_no_anchors(spark, monkeypatch):
+    seen = []
+
+    def watched(edges):
+        seen.append(edges._jdf.queryExecution().executedPlan().toString())
+        return components(edges)
+
+    monkeypatch.setattr(simhash, "components", watched)
+    corpus_pipeline.near_duplicates(spark, table(spark, SF, "documents"), SF)
+    assert len(seen) == 1 and "SortMergeJoin" in seen[0] and "Broadcast" not in seen[0]
+
+
 def test_run_equals_its_stages(spark):
     docs = table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
