@@ -291,8 +291,8 @@ def _scd2_late_rebuild(spark: SparkSession, sf: str) -> DataFrame:
 def _landing(spark: SparkSession, sf: str, broken: bool = False) -> Lake:
     """A lake whose landing folder holds the feed as CSV files."""
     lake = Lake(spark, work_dir(spark, "lake"))
-    rows = td.feed(spark, sf)
-    td.write_landing(_broken(rows) if broken else rows, lake.landing)
+    rows = td.facts(spark, sf)
+    td.write_landing(rows, lake.landing, judge=_broken if broken else None, show=td.listed)
     return lake
 
 
@@ -312,7 +312,7 @@ def _raw(lake: Lake) -> DataFrame:
 def _bronze_batch_limit(spark: SparkSession, sf: str) -> DataFrame:
     """Runs with a limit of a third of the files; each takes the next ones in."""
     lake = Lake(spark, work_dir(spark, "lake"))
-    files = td.write_landing(td.feed(spark, sf), lake.landing)
+    files = td.write_landing(td.facts(spark, sf), lake.landing, show=td.listed)
     for _ in range(3):
         pipeline.bronze_ingest(lake, td.RUN_ID, ARRIVED, batch_limit=-(-files // 3))
     return _raw(lake)

@@ -9,6 +9,7 @@ four date notations plus junk, and several rows of one id in a snapshot.
 from __future__ import annotations
 
 import sys
+from collections.abc import Callable
 
 import pandas as pd
 import pyarrow as pa
@@ -58,8 +59,8 @@ def _date_text(day: Column, style: Column) -> Column:
     )
 
 
-def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw listing rows (all text) with snapshot date and tie-break columns."""
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What :func:`listed` makes listings of: one narrow row for each, with snapshot date and tie-break."""
     # the joins carry what the listing takes from a line item, not the figures it is derived from
     rented = F.col("l_returnflag") == "R"
     line = spread(
@@ -78,57 +79,80 @@ def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     place = table(spark, sf_dir, "nation").join(
         table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-
-    key, number = F.col("l_partkey"), F.col("l_linenumber")
-    rented, ship_day = F.col("rented"), F.col("ship_day")
+    key = F.col("l_partkey")
     home = F.when(key % 50 == 0, F.col("s_nationkey")).otherwise((key % 25).cast("int"))
-    amount = F.col("steps") * F.when(rented, 500).otherwise(200_000_000)
-
     return (
         # the part last: its texts move once, and rows of one part stay together
         line.join(supplier, F.col("l_suppkey") == F.col("s_suppkey"))
         .join(part, key == F.col("p_partkey"))
         .join(place, F.col("n_nationkey") == home)
         .select(
-            _text(key).alias("property_id"),
-            _text(F.col("n_nationkey")).alias("location_id"),
-            F.concat(F.lit("https://listing.example/"), _text(key)).alias("page_url"),
-            F.col("p_type").alias("property_type"),
-            F.when(number == 7, F.lit("N/A"))
-            .when(number == 6, F.concat(_text(amount), F.lit(".0")))
-            .otherwise(_text(amount))
-            .alias("price"),
-            F.col("p_name").alias("location"),
-            F.when(key % 97 != 0, F.col("n_name")).alias("city"),
-            F.col("r_name").alias("province_name"),
-            _text(F.col("n_nationkey") + 20).alias("latitude"),
-            _text(F.col("n_nationkey") + 58).alias("longitude"),
-            _text(F.col("p_size") % 5).alias("baths"),
-            _text(F.col("p_size") % 4).alias("bedrooms"),
-            F.when(rented & (number == 5), F.lit("Short Stay"))
-            .when(rented, F.lit("For Rent"))
-            .otherwise(F.lit("For Sale"))
-            .alias("purpose"),
-            _date_text(ship_day, F.col("l_orderkey") % 6).alias("date_added"),
-            F.when(F.col("l_suppkey") % 3 == 0, F.lit(""))
-            .when(F.col("l_suppkey") % 3 == 1, F.lit("  "))
-            .otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit(" ")))
-            .alias("agency"),
-            F.when(number != 1, F.col("s_name")).alias("agent"),
-            F.when(key % 3 == 0, F.lit("Kanal"))
-            .when(key % 3 == 1, F.lit("KANAL"))
-            .otherwise(F.lit("Marla"))
-            .alias("Area Type"),
-            F.when(key % 11 == 0, F.lit("0"))
-            .when(key % 13 == 0, F.lit("n/a"))
-            .otherwise(_text(F.col("p_size")))
-            .alias("Area Size"),
-            F.trunc(ship_day, "month").alias("snapshot_date"),
             *TIE_BREAK,
+            "l_partkey",
+            "rented",
+            "steps",
+            "ship_day",
+            "s_name",
+            "p_name",
+            "p_type",
+            "p_size",
+            "n_nationkey",
+            "n_name",
+            "r_name",
+            F.trunc("ship_day", "month").alias("snapshot_date"),
         )
     )
 
 
+def listing() -> dict[str, Column]:
+    """The raw columns of a listing (all text) over its facts."""
+    key, number = F.col("l_partkey"), F.col("l_linenumber")
+    rented, ship_day = F.col("rented"), F.col("ship_day")
+    amount = F.col("steps") * F.when(rented, 500).otherwise(200_000_000)
+    return {
+        "property_id": _text(key),
+        "location_id": _text(F.col("n_nationkey")),
+        "page_url": F.concat(F.lit("https://listing.example/"), _text(key)),
+        "property_type": F.col("p_type"),
+        "price": F.when(number == 7, F.lit("N/A"))
+        .when(number == 6, F.concat(_text(amount), F.lit(".0")))
+        .otherwise(_text(amount)),
+        "location": F.col("p_name"),
+        "city": F.when(key % 97 != 0, F.col("n_name")),
+        "province_name": F.col("r_name"),
+        "latitude": _text(F.col("n_nationkey") + 20),
+        "longitude": _text(F.col("n_nationkey") + 58),
+        "baths": _text(F.col("p_size") % 5),
+        "bedrooms": _text(F.col("p_size") % 4),
+        "purpose": F.when(rented & (number == 5), F.lit("Short Stay"))
+        .when(rented, F.lit("For Rent"))
+        .otherwise(F.lit("For Sale")),
+        "date_added": _date_text(ship_day, F.col("l_orderkey") % 6),
+        "agency": F.when(F.col("l_suppkey") % 3 == 0, F.lit(""))
+        .when(F.col("l_suppkey") % 3 == 1, F.lit("  "))
+        .otherwise(F.concat(F.lit(" "), F.col("s_name"), F.lit(" "))),
+        "agent": F.when(number != 1, F.col("s_name")),
+        "Area Type": F.when(key % 3 == 0, F.lit("Kanal"))
+        .when(key % 3 == 1, F.lit("KANAL"))
+        .otherwise(F.lit("Marla")),
+        "Area Size": F.when(key % 11 == 0, F.lit("0"))
+        .when(key % 13 == 0, F.lit("n/a"))
+        .otherwise(_text(F.col("p_size"))),
+    }
+
+
+def listed(rows: DataFrame) -> DataFrame:
+    """Raw listing rows of facts, with snapshot date, tie-break and line end (if any)."""
+    end = [name for name in ("_line_end",) if name in rows.columns]
+    raw = [column.alias(name) for name, column in listing().items()]
+    return rows.select(*raw, "snapshot_date", *TIE_BREAK, *end)
+
+
+def feed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw listing rows (all text) with snapshot date and tie-break columns."""
+    return listed(facts(spark, sf_dir))
+
+
 def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed(spark, sf_dir).withColumns(
         {
@@ -157,14 +181,30 @@ _CSV = {
 }
 
 
-def write_landing(rows: DataFrame, folder: str, split_days: bool = True) -> int:
+def write_landing(
+    rows: DataFrame,
+    folder: str,
+    split_days: bool = True,
+    judge: Callable[[DataFrame], DataFrame] | None = None,
+    show: Callable[[DataFrame], DataFrame] | None = None,
+) -> int:
     """Write rows as landing CSV files named after their snapshot date.
 
     Spark makes the lines; every task writes the dates it holds as files of its
     own, streaming through its lines, so nothing is gathered. ``_line_end`` in the
     rows, if present, is appended to each line as it is. ``split_days=False`` gives
-    one file per date. Returns the number of files.
+    one file per date.
+
+    ``judge`` chooses among the rows when they are dealt out (with one file per date, all
+    rows of a date are together), and ``show`` makes the columns of the files of them when
+    they are in order: what moves and is sorted are the rows as they come, so give narrow ones.
+    Returns the number of files.
     """
+    # ranges keep a date's rows together, and split a date that owns most of them if allowed
+    order = ("snapshot_date", *TIE_BREAK)
+    dealt = rows.repartitionByRange(*(order if split_days else order[:1]))
+    ordered = (judge(dealt) if judge else dealt).sortWithinPartitions(*order)
+    rows = show(ordered) if show else ordered
     header = [name for name in rows.columns if name not in (*TIE_BREAK, "snapshot_date", "_line_end")]
     head = (",".join(header) + "\n").encode()
 
@@ -192,13 +232,9 @@ def write_landing(rows: DataFrame, folder: str, split_days: bool = True) -> int:
             stream.close()
         yield pa.RecordBatch.from_pydict({"files": pa.array([files], pa.int32())})
 
-    # ranges keep a date's rows together, and split a date that owns most of them if allowed
-    order = ("snapshot_date", *TIE_BREAK)
-    ranges = order if split_days else order[:1]
     ends = F.coalesce(F.col("_line_end"), F.lit("")) if "_line_end" in rows.columns else F.lit("")
     line = F.concat(F.to_csv(F.struct(*[F.col(f"`{name}`") for name in header]), _CSV), ends, F.lit("\n"))
-    ordered = rows.repartitionByRange(*ranges).sortWithinPartitions(*order)
-    lines = ordered.select(F.col("snapshot_date").cast("string"), line.alias("line"))
+    lines = rows.select(F.col("snapshot_date").cast("string"), line.alias("line"))
     return lines.mapInArrow(write, "files int").agg(F.sum("files")).first()[0]
 
 

@@ -2,6 +2,7 @@
 
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
 from listing_lake import schemas
@@ -231,3 +232,34 @@ def test_a_history_by_city_bounds_hot_listings_and_large_cities(spark, tmp_path,
     assert len(of_city) > 4 and max(n for _, n in of_city) < 200
     none = scd2.bulk_history_by_city(silver.limit(0), "now", td.TIE_BREAK)
     assert none.isEmpty() and none.columns == expected.columns
+
+
+class _Landed(Exception):
+    pass
+
+
+@pytest.mark.parametrize("name", ["stream_bronze", "quarantine_split"])
+def test_landing_files_are_made_of_narrow_rows(spark, monkeypatch, name):
+    seen = {}
+
+    def landed(rows, folder, **options):
+        seen.update(options, rows=rows)
+        raise _Landed
+
+    monkeypatch.setattr(td, "write_landing", landed)
+    with pytest.raises(_Landed):
+        queries.queries()[name](spark, SF)
+    assert not {"page_url", "_line_end", "property_id"} & set(seen["rows"].columns)
+    dealt = seen["rows"].repartitionByRange("snapshot_date")
+    shown = plan(seen["show"](seen["judge"](dealt) if seen.get("judge") else dealt))
+    # rows of a date are together, so the choice among them moves nothing
+    assert shown.count("Exchange") == plan(dealt).count("Exchange")
+
+
+def test_landing_lines_are_those_of_the_feed(spark, tmp_path):
+    def lines(folder):
+        return sorted(line for file in folder.glob("*.csv") for line in file.read_text().splitlines()[1:])
+
+    td.write_landing(td.feed(spark, SF), str(tmp_path / "wide"))
+    td.write_landing(td.facts(spark, SF), str(tmp_path / "narrow"), show=td.listed)
+    assert lines(tmp_path / "wide") == lines(tmp_path / "narrow") != []
