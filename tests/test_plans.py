@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from listing_lake import schemas
 from listing_lake.operators import scd2
 from listing_lake.plans import queries
-from listing_lake.session import stored
+from listing_lake.session import FREED, stored
 from listing_lake.sources import testdata as td
 
 SF = "/root/testdata/sf0.001"
@@ -238,7 +238,7 @@ class _Landed(Exception):
     pass
 
 
-@pytest.mark.parametrize("name", ["stream_bronze", "quarantine_split"])
+@pytest.mark.parametrize("name", ["stream_bronze", "quarantine_split", "pipeline_end_to_end", "stream_end_to_end"])
 def test_landing_files_are_made_of_narrow_rows(spark, monkeypatch, name):
     seen = {}
 
@@ -263,3 +263,12 @@ def test_landing_lines_are_those_of_the_feed(spark, tmp_path):
     td.write_landing(td.feed(spark, SF), str(tmp_path / "wide"))
     td.write_landing(td.facts(spark, SF), str(tmp_path / "narrow"), show=td.listed)
     assert lines(tmp_path / "wide") == lines(tmp_path / "narrow") != []
+
+
+def test_a_lake_frees_shuffles_and_packs_its_files(spark, lake, monkeypatch):
+    spark.conf.unset(FREED[0])
+    rows = td.silver(spark, SF).drop(*td.TIE_BREAK).withColumn("file_hash", F.lit("a"))
+    lake = type(lake)(spark, lake.root)
+    assert spark.conf.get(FREED[0]) == "true"
+    lake.write_silver(rows)
+    assert all(".zstd." in f for f in lake.silver().inputFiles())
