@@ -401,9 +401,9 @@ def _quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------- Gold store
 
 
-def _published(lake: Lake, silver: DataFrame) -> int:
+def _published(lake: Lake, silver: DataFrame, tie_break=td.TIE_BREAK) -> int:
     """The history of the rows as a version of the store."""
-    gold = scd2.bulk_history_by_city(silver, td.LOADED_AT, tie_break=td.TIE_BREAK)
+    gold = scd2.bulk_history_by_city(silver, td.LOADED_AT, tie_break=tie_break)
     return lake.gold.publish(gold, pipeline.BULK, NOW, by_city=True)
 
 
@@ -548,15 +548,18 @@ def _stream_late(spark: SparkSession, sf: str) -> DataFrame:
     because files do not carry the tie-break columns a rebuild would need.
     """
     lake = Lake(spark, work_dir(spark, "lake"))
-    silver = stored(td.silver(spark, sf))
+    silver = td.silver(spark, sf)
     is_late = F.col(DAY) == F.lit(LATE).cast("date")
     daily = scd2.one_per_day(
-        scd2.only_traded(scd2.has_city(silver)), ("table_name", *scd2.BULK_KEYS), DAY, td.TIE_BREAK
-    ).select(*silver.columns)
+        scd2.lean(scd2.only_traded(scd2.has_city(silver))), ("table_name", *scd2.BULK_KEYS), DAY, td.TIE_BREAK
+    )
     lake.write_silver(
-        daily.drop(*td.TIE_BREAK).withColumn("file_hash", F.sha2(F.col(DAY).cast("string"), 256))
+        scd2.restored(daily, silver.columns)
+        .drop(*td.TIE_BREAK)
+        .withColumn("file_hash", F.sha2(F.col(DAY).cast("string"), 256))
     )
-    lake.gold.publish(_history(silver.filter(~is_late)), pipeline.BULK, NOW)
+    # one row a day is left, so no tie is to be broken
+    _published(lake, lake.silver().filter(~is_late), (DAY,))
     streams.stream_gold(
         lake, _silver_files(spark, silver.filter(is_late)), NOW, late=pipeline.REBUILD, copies=PER_MATCH
     )

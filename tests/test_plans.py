@@ -272,3 +272,13 @@ def test_a_lake_frees_shuffles_and_packs_its_files(spark, lake, monkeypatch):
     assert spark.conf.get(FREED[0]) == "true"
     lake.write_silver(rows)
     assert all(".zstd." in f for f in lake.silver().inputFiles())
+
+
+def test_stream_late_stores_no_wide_copy_of_the_feed(spark, monkeypatch):
+    def narrow_only(rows):
+        assert "page_url" not in rows.columns
+        return stored(rows)
+
+    monkeypatch.setattr(queries, "stored", narrow_only)
+    monkeypatch.setattr(queries.streams, "stream_gold", lambda *args, **options: None)
+    assert queries.queries()["stream_late"](spark, SF).count() > 0
